@@ -19,7 +19,8 @@ SITE_KEY = [SITE, "Latitude", "Longitude", "Elevation"]
 def dim_wavelength(spark: SparkSession, aod_cols: list[str]) -> DataFrame:
     """One row per AOD column of the source, measured or not; bounded by the width of the source."""
     waves = sorted(float(c[len("AOD_") : -len("nm")]) for c in aod_cols)
-    frame = spark.createDataFrame(list(enumerate(waves, start=1)), "id_wavelength int, Wavelength_nm double")
+    rows = [F.struct(F.lit(i).alias("id_wavelength"), F.lit(w).alias("Wavelength_nm")) for i, w in enumerate(waves, 1)]
+    frame = spark.range(1).select(F.inline(F.array(*rows)))
     nm = F.col("Wavelength_nm")
     return frame.withColumns({"Spectral_Band": spectral_band(nm), "Sensitive_Aerosol": sensitive_aerosol(nm)})
 

@@ -41,8 +41,13 @@ WEATHER_SCHEMA = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in WEATHER_RENAME]
 )
 
-POLYGON_SCHEMA = T.StructType.fromDDL(
-    "Country string, Continent string, rings array<array<struct<lon:double,lat:double>>>"
+_POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType())])
+POLYGON_SCHEMA = T.StructType(
+    [
+        T.StructField("Country", T.StringType()),
+        T.StructField("Continent", T.StringType()),
+        T.StructField("rings", T.ArrayType(T.ArrayType(_POINT))),
+    ]
 )
 
 FACT_MEASURES = ["Particle_type", "AOD_Value", "Precipitable_Water", "Angstrom_Exponent"]
