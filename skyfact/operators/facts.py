@@ -13,7 +13,7 @@ from skyfact.operators.dimensions import SITE_KEY, site_keys
 from skyfact.operators.joins import lookup_join
 from skyfact.operators.numbering import assign_ids
 from skyfact.operators.reshape import classify_particles, long_observations
-from skyfact.schemas import FACT_KEYS, FACT_MEASURES, FACT_RENAME, LOADED_FACT_COLUMNS, SITE
+from skyfact.schemas import FACT_KEYS, FACT_MEASURES, FACT_RENAME, LOADED_FACT_COLUMNS, SITE, aod_columns
 
 
 @dataclass(frozen=True)
@@ -64,14 +64,35 @@ def attach_keys(wide: DataFrame, date: DataFrame, site: DataFrame, site_key: str
     return attach_natural(df, site, [c for c in SITE_KEY if c in df.columns], "id_site", null_safe=True)
 
 
-def keyed_to_fact(keyed: DataFrame, wavelength: DataFrame) -> DataFrame:
-    """Unpivot wide rows that carry their keys, and add ``id_wavelength``."""
+def keyed_observations(
+    wide: DataFrame,
+    date: DataFrame,
+    site: DataFrame,
+    weather_keys: DataFrame | None = None,
+    site_key: str = "place",
+) -> DataFrame:
+    """Wide rows reduced to their keys, the particle class and the measures.
+
+    All look-ups, weather too if its keys are given, happen here, once per observation and not once
+    per wavelength.
+    """
+    keyed = attach_keys(classify_particles(wide), date, site, site_key)
+    if weather_keys is not None:
+        keyed = enrich_weather(keyed, date, site, weather_keys)
     keyed = rename(keyed, FACT_RENAME)
     extra = [c for c in ("Precipitable_Water", "Angstrom_Exponent") if c not in keyed.columns]
     keyed = keyed.withColumns({c: F.lit(None).cast("float") for c in extra})
     weather = [c for c in ("id_weather", "is_enriched") if c in keyed.columns]
-    ids = ["id_date", "id_site", "Particle_type", "Precipitable_Water", "Angstrom_Exponent", *weather]
-    long = long_observations(keyed, ids)
+    return keyed.select(
+        "id_date", "id_site", *weather, "Particle_type", "Precipitable_Water", "Angstrom_Exponent",
+        *[col(c) for c in aod_columns(keyed.columns)],
+    )
+
+
+def keyed_to_fact(keyed: DataFrame, wavelength: DataFrame) -> DataFrame:
+    """Unpivot keyed observations and add ``id_wavelength``; no shuffle."""
+    weather = [c for c in ("id_weather", "is_enriched") if c in keyed.columns]
+    long = long_observations(keyed)
     # Bounded by the columns of the source.
     bands = F.broadcast(wavelength.select("id_wavelength", "Wavelength_nm"))
     return long.join(bands, "Wavelength_nm", "left").select(
@@ -87,15 +108,8 @@ def build_fact(
     weather_keys: DataFrame | None = None,
     site_key: str = "place",
 ) -> DataFrame:
-    """Facts without a number yet: one row per measured (observation, wavelength).
-
-    All look-ups, weather too if its keys are given, happen on the wide rows; the unpivot comes last
-    and stays in their stage.
-    """
-    keyed = attach_keys(classify_particles(wide), date, site, site_key)
-    if weather_keys is not None:
-        keyed = enrich_weather(keyed, date, site, weather_keys)
-    return keyed_to_fact(keyed, wavelength)
+    """Facts without a number yet: one row per measured (observation, wavelength)."""
+    return keyed_to_fact(keyed_observations(wide, date, site, weather_keys, site_key), wavelength)
 
 
 def number_facts(fact: DataFrame) -> DataFrame:

@@ -5,60 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
+ACCURACY = 2_000
 # The sketch is off by at most 1 / ACCURACY of the rows; brackets reach four times as far.
 SLACK = 4.0 / ACCURACY
 
 
-def _bracket(values: DataFrame, probs: list[float]) -> DataFrame:
-    """Per column and probability: the wanted ranks and two values that enclose them."""
+def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
+    """Per column: the number of rows, and for each probability two values that enclose its rank."""
     low = [max(0.0, p - SLACK) for p in probs]
     high = [min(1.0, p + SLACK) for p in probs]
-    approx = F.percentile_approx("value", low + high, ACCURACY).alias("q")
     ends = values.groupBy("column").agg(
-        F.count("value").alias("n"), F.min("value").alias("vmin"), F.max("value").alias("vmax"), approx
+        F.count("value").alias("rows"),
+        F.min("value").alias("vmin"),
+        F.max("value").alias("vmax"),
+        F.percentile_approx("value", low + high, ACCURACY).alias("q"),
     )
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("prob"),
-                (F.lit(p) * (F.col("n") - 1)).alias("at"),
-                (F.col("vmin") if low[i] == 0.0 else F.col("q")[i]).alias("lo"),
-                (F.col("vmax") if high[i] == 1.0 else F.col("q")[i + len(probs)]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
+    k = len(probs)
+    return ends.select(
+        "column",
+        "rows",
+        *[(F.col("vmin") if p == 0.0 else F.col("q")[i]).alias(f"lo{i}") for i, p in enumerate(low)],
+        *[(F.col("vmax") if p == 1.0 else F.col("q")[i + k]).alias(f"hi{i}") for i, p in enumerate(high)],
     )
-    return ends.filter("n > 0").select("column", F.explode(wanted).alias("w")).select("column", "w.*")
 
 
 def quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
     """(column, prob, quantile) of a frame (column, value), by linear interpolation between ranks.
 
-    A sketch encloses each wanted rank; then one aggregation counts the rows below the
-    enclosure as one group and those inside value by value, so equal values shrink before the
-    shuffle.  The running count over that small remainder finds the two neighbours exactly.
+    A sketch encloses each wanted rank.  One aggregation then counts the rows outside of the
+    enclosures stretch by stretch and those inside value by value, so equal values shrink before
+    the shuffle; the running count over that small remainder finds the two neighbours exactly.
     """
     present = values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    brackets = _bracket(present, probs)
-    # One row per column and probability.
-    inside = present.join(F.broadcast(brackets), "column").filter("value <= hi")
+    # One row per column.
+    inside = present.join(F.broadcast(_brackets(present, probs)), "column")
+    begun = " + ".join(f"INT(value >= lo{i})" for i in range(len(probs)))
+    ended = " + ".join(f"INT(value > hi{i})" for i in range(len(probs)))
+    # The stretch never falls while the value grows, so (stretch, value) sorts as the value does.
     shrunk = (
-        inside.withColumn("v", F.expr("CASE WHEN value >= lo THEN value END"))
-        .groupBy("column", "prob", "at", "v")
+        inside.selectExpr("column", "rows", "value", f"{begun} AS begun", f"{ended} AS ended")
+        .selectExpr("column", "rows", "begun + ended AS stretch", "CASE WHEN begun > ended THEN value END AS v")
+        .groupBy("column", "rows", "stretch", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("column", "prob").orderBy(F.col("v").asc_nulls_first())
+    running = Window.partitionBy("column").orderBy("stretch", F.col("v").asc_nulls_first())
     upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = shrunk.withColumn("upto", upto)
-    holds = lambda rank: (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-    below, above = F.floor("at"), F.ceil("at")
-    ends = ranked.groupBy("column", "prob", "at").agg(
-        F.max(F.when(holds(below), F.col("v"))).alias("a"), F.max(F.when(holds(above), F.col("v"))).alias("b")
-    )
-    return ends.select(
-        "column", "prob", F.expr("a + (b - a) * (at - floor(at))").alias("quantile")
-    )
+    picks = []
+    for p in probs:
+        at = F.lit(p) * (F.col("rows") - 1)
+        for rank in (F.floor(at), F.ceil(at)):
+            holds = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
+            picks.append(F.max(F.when(holds, F.col("v"))).alias(f"e{len(picks)}"))
+    found = ranked.groupBy("column", "rows").agg(*picks)
+    cells = []
+    for i, p in enumerate(probs):
+        a, b, at = F.col(f"e{2 * i}"), F.col(f"e{2 * i + 1}"), F.lit(p) * (F.col("rows") - 1)
+        cells.append(F.struct(F.lit(p).alias("prob"), (a + (b - a) * (at - F.floor(at))).alias("quantile")))
+    return found.select("column", F.inline(F.array(*cells)))
 
 
 def quantiles_approx(values: DataFrame, probs: list[float], accuracy: int = ACCURACY) -> DataFrame:

@@ -13,7 +13,7 @@ from skyfact.operators.quality import DEFAULT_THRESHOLD, dq_report, require_qual
 from skyfact.operators.sampling import sample_geo
 from skyfact.operators.weather import weather_missing, weather_requests
 from skyfact.plans.star import build_star
-from skyfact.session import materialize
+from skyfact.session import materialize, tune
 from skyfact.sinks.tables import load_warehouse, read_star, stage_path, write_dq_report, write_sample_csv, write_star
 from skyfact.sources.observations import clean_observations, preflight, read_observations
 from skyfact.sources.polygons import read_country_polygons
@@ -65,7 +65,7 @@ def run_daily(
     spark: SparkSession, job: DailyJob, sink: Callable[[str, DataFrame, bool], None] | None = None
 ) -> DailyResult:
     """The whole chain.  Nothing is published unless the quality gate is passed."""
-    wide = extract(spark, job)
+    wide = extract(tune(spark), job)
     polygons = read_country_polygons(spark, job.polygons) if job.polygons else None
     weather = find_weather(spark, job)
     star = build_star(wide, polygons, weather, job.dims_from, job.site_key)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from skyfact.functions import col
 from skyfact.operators.dimensions import dim_date, dim_site, dim_wavelength, dim_wavelength_from_data, dim_weather
-from skyfact.operators.facts import StarSchema, build_fact, number_facts, unenriched
+from skyfact.operators.facts import StarSchema, keyed_observations, keyed_to_fact, number_facts, unenriched
 from skyfact.operators.reshape import long_observations
 from skyfact.schemas import aod_columns
 from skyfact.session import materialize
@@ -45,7 +45,11 @@ def build_star(
     if weather is not None:
         measures, keys = dim_weather(weather)
         measures, keys = materialize(measures, "dim_weather"), materialize(keys, "weather_keys")
-    fact = build_fact(wide, date, wavelength, site, keys, site_key)
+    keyed = keyed_observations(wide, date, site, keys, site_key)
+    if numbered:
+        # The range shuffle looks at its input twice, to sample and to sort; let it read this.
+        keyed = materialize(keyed, "keyed")
+    fact = keyed_to_fact(keyed, wavelength)
     if keys is None:
         fact = unenriched(fact)
     return StarSchema(wavelength, date, site, number_facts(fact) if numbered else fact, measures, keys)

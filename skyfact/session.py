@@ -27,7 +27,26 @@ def spark_session(app: str = "skyfact", master: str | None = None, **conf) -> Sp
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+# The JVM does not compile methods above 8000 bytes.  A wide projection (a rule per band) makes such
+# methods in whole-stage code, and would run interpreted; below this limit Spark splits it instead.
+HUGE_METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
+_HUGE_METHOD_DEFAULT, HUGE_METHOD_LIMIT = "65535", "8000"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the jobs count on, where the session still has Spark's default."""
+    if spark.conf.get(HUGE_METHOD_CONF, _HUGE_METHOD_DEFAULT) == _HUGE_METHOD_DEFAULT:
+        spark.conf.set(HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
+    return spark
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a source with fewer splits than cores out over all cores; large sources stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def scratch_dir(spark: SparkSession) -> str:

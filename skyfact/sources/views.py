@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from skyfact.functions import col
 from skyfact.functions.columns import fix_swapped_coords, round_coords
 from skyfact.schemas import ANGSTROM, ELEV, LAT, LON, RAW_DATE, RAW_TIME, SITE, WATER, WEATHER_RENAME
+from skyfact.session import spread, tune
 from skyfact.sources.observations import clean_observations
 
 BANDS = [340, 380, 400, 440, 500, 675, 870, 1020]
@@ -20,13 +21,13 @@ AOD_COLUMNS = [f"AOD_{w}nm" for w in BANDS]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _aod(w: int) -> Column:
-    h = F.col("h")
-    value = ((h * 7 + w) % 3500).cast("double") / 1000
-    return F.when((h + w) % 11 == 0, -999.0).when((h + w) % 17 == 0, -0.01).otherwise(value).cast("float")
+def _aod(w: int) -> str:
+    value = f"CAST((h * 7 + {w}) % 3500 AS DOUBLE) / 1000"
+    case = f"CASE WHEN (h + {w}) % 11 = 0 THEN -999.0D WHEN (h + {w}) % 17 = 0 THEN -0.01D ELSE {value} END"
+    return f"CAST({case} AS FLOAT) AS AOD_{w}nm"
 
 
 def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,39 +35,31 @@ def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
-    stations = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("k"))
+    items = spread(items, "l_orderkey", "l_linenumber")
+    stations = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS s", "s_nationkey AS k")
     # No hint: the stored size of the station table decides how it is joined.
-    df = items.join(stations, items.l_suppkey == stations.s_suppkey).withColumnRenamed("s_suppkey", "s")
-    h = (F.col("l_orderkey") * 31 + F.col("l_partkey") * 17 + F.col("l_linenumber") * 7) % 1000
-    s, k = F.col("s"), F.col("k")
-    df = df.withColumns(
-        {
-            "h": h,
-            "x": -100 + 40 * (k % 5) + F.when(s % 10 == 7, 35).otherwise(s % 31),
-            "y": -50 + 20 * F.floor(k / 5) + (s * 3) % 16,
-        }
+    df = items.join(stations, items.l_suppkey == stations.s).selectExpr(
+        "s",
+        "l_quantity",
+        "l_shipdate AS d",
+        "(l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7) % 1000 AS h",
+        "-100 + 40 * (k % 5) + CASE WHEN s % 10 = 7 THEN 35 ELSE s % 31 END AS x",
+        "-50 + 20 * FLOOR(k / 5) + (s * 3) % 16 AS y",
     )
-    x, y, h = F.col("x"), F.col("y"), F.col("h")
-    lost, swapped = s % 29 == 3, (s % 2 == 1) & (F.abs(x) > 90)
-    day = F.col("l_shipdate")
-    moved = F.when((s % 6 == 0) & (F.year(day) >= 1999), 5).otherwise(0)
-    clock = F.format_string("%02d:%02d:00", h % 24, h % 60)
-    return df.select(
-        F.concat(F.lit("site_"), s.cast("string")).alias(SITE),
-        F.date_format(day, "dd:MM:yyyy").alias(RAW_DATE),
-        F.when(h % 97 == 0, "25:00:00").otherwise(clock).alias(RAW_TIME),
-        (F.dayofyear(day) + F.when(h % 101 == 0, 1).otherwise(0)).cast("float").alias("Day_of_Year"),
-        F.when(h % 13 == 0, -999.0).otherwise(F.col("l_quantity") / 10).cast("float").alias(WATER),
-        F.when(h % 19 == 0, -999.0)
-        .otherwise((h % 700 - 120).cast("double") / 100)
-        .cast("float")
-        .alias(ANGSTROM),
-        F.when(lost, 95).when(swapped, x).otherwise(y).cast("float").alias(LAT),
-        F.when(lost, -200).when(swapped, y).otherwise(x).cast("float").alias(LON),
-        (s * 10 + moved).cast("float").alias(ELEV),
-        F.when(h % 10 == 0, "lev15").otherwise("lev20").alias("Data_Quality_Level"),
-        (h % 25).cast("int").alias("N[AOD_500nm]"),
-        *[_aod(w).alias(c) for w, c in zip(BANDS, AOD_COLUMNS)],
+    lost, swapped = "s % 29 = 3", "s % 2 = 1 AND abs(x) > 90"
+    return df.selectExpr(
+        f"concat('site_', s) AS `{SITE}`",
+        f"date_format(d, 'dd:MM:yyyy') AS `{RAW_DATE}`",
+        f"CASE WHEN h % 97 = 0 THEN '25:00:00' ELSE format_string('%02d:%02d:00', h % 24, h % 60) END AS `{RAW_TIME}`",
+        "CAST(dayofyear(d) + CASE WHEN h % 101 = 0 THEN 1 ELSE 0 END AS FLOAT) AS Day_of_Year",
+        f"CAST(CASE WHEN h % 13 = 0 THEN -999.0D ELSE l_quantity / 10 END AS FLOAT) AS `{WATER}`",
+        f"CAST(CASE WHEN h % 19 = 0 THEN -999.0D ELSE CAST(h % 700 - 120 AS DOUBLE) / 100 END AS FLOAT) AS `{ANGSTROM}`",
+        f"CAST(CASE WHEN {lost} THEN 95 WHEN {swapped} THEN x ELSE y END AS FLOAT) AS `{LAT}`",
+        f"CAST(CASE WHEN {lost} THEN -200 WHEN {swapped} THEN y ELSE x END AS FLOAT) AS `{LON}`",
+        f"CAST(s * 10 + CASE WHEN s % 6 = 0 AND year(d) >= 1999 THEN 5 ELSE 0 END AS FLOAT) AS `{ELEV}`",
+        "CASE WHEN h % 10 = 0 THEN 'lev15' ELSE 'lev20' END AS Data_Quality_Level",
+        "CAST(h % 25 AS INT) AS `N[AOD_500nm]`",
+        *[_aod(w) for w in BANDS],
     )
 
 
