@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 ACCURACY = 2_000
 # The sketch is off by at most 1 / ACCURACY of the rows; brackets reach four times as far.
 SLACK = 4.0 / ACCURACY
+# So few rows are counted value by value, without enclosures: there the slack is hardly a rank.
+FEW_ROWS = 10 * ACCURACY
 
 
 def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
@@ -20,12 +22,16 @@ def _brackets(values: DataFrame, probs: list[float]) -> DataFrame:
         F.max("value").alias("vmax"),
         F.percentile_approx("value", low + high, ACCURACY).alias("q"),
     )
-    k = len(probs)
+    few = F.col("rows") <= FEW_ROWS
+    los = [F.when(few | F.lit(p == 0.0), F.col("vmin")).otherwise(F.col("q")[i]) for i, p in enumerate(low)]
+    his = [
+        F.when(few | F.lit(p == 1.0), F.col("vmax")).otherwise(F.col("q")[i + len(probs)]) for i, p in enumerate(high)
+    ]
     return ends.select(
         "column",
         "rows",
-        *[(F.col("vmin") if p == 0.0 else F.col("q")[i]).alias(f"lo{i}") for i, p in enumerate(low)],
-        *[(F.col("vmax") if p == 1.0 else F.col("q")[i + k]).alias(f"hi{i}") for i, p in enumerate(high)],
+        *[c.alias(f"lo{i}") for i, c in enumerate(los)],
+        *[c.alias(f"hi{i}") for i, c in enumerate(his)],
     )
 
 
