@@ -71,7 +71,7 @@ def is_enriched(id_weather: Column) -> Column:
 
 def sentinel_to_null(df: DataFrame, cols: list[str], marker: float = SENTINEL) -> DataFrame:
     """The missing marker, and NaN, become null in the named numeric columns."""
-    return df.withColumns({c: F.when((col(c) != marker) & ~F.isnan(col(c)), col(c)) for c in cols})
+    return df.withColumns({c: F.expr(f"CASE WHEN `{c}` <> {marker} AND NOT isnan(`{c}`) THEN `{c}` END") for c in cols})
 
 
 def coerce_numeric(df: DataFrame, cols: list[str], to: str = "float") -> DataFrame:

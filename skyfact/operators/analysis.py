@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfact.functions import col, finite
@@ -97,24 +97,21 @@ def map_layers(df: DataFrame, layers: list[str], size_mode: str = "value") -> Da
     return marker_size(long, "value", by="layer")
 
 
-def _corr(a: str, b: str) -> Column:
-    """Pearson's r from moments; null where a column is constant."""
-    spread = F.stddev_pop(col(a)) * F.stddev_pop(col(b))
-    return F.try_divide(F.covar_pop(col(a), col(b)), spread)
-
-
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(x, y, r) for all pairs of columns over the complete rows, from one aggregation."""
+    """(x, y, r) for all pairs of columns over the complete rows, from one aggregation.
+
+    Pearson's r from moments; null where a column is constant.
+    """
     keep = [c for c in (cols or CORR_COLUMNS) if c in df.columns]
     if len(keep) < 2:
         raise MissingColumns(f"a correlation needs two columns, found {keep}")
     rows = complete_cases(df.select(*[col(c).cast("double").alias(c) for c in keep]), keep)
     cells = []
     for a, b in combinations_with_replacement(keep, 2):
-        r = _corr(a, b)
+        r = f"try_divide(covar_pop(`{a}`, `{b}`), stddev_pop(`{a}`) * stddev_pop(`{b}`))"
         for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r")))
-    return rows.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+            cells.append(f"named_struct('x', '{x}', 'y', '{y}', 'r', {r})")
+    return rows.agg(F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
 
 
 def _xy(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -77,7 +77,9 @@ def keyed_observations(
     per wavelength.
     """
     keyed = attach_keys(classify_particles(wide), date, site, site_key)
-    if weather_keys is not None:
+    if weather_keys is not None and site_key == "place":
+        keyed = enrich_in_place(keyed, weather_keys)
+    elif weather_keys is not None:
         keyed = enrich_weather(keyed, date, site, weather_keys)
     keyed = rename(keyed, FACT_RENAME)
     extra = [c for c in ("Precipitable_Water", "Angstrom_Exponent") if c not in keyed.columns]
@@ -143,6 +145,19 @@ def enrich_weather(df: DataFrame, date: DataFrame, site: DataFrame, keymap: Data
     return joined.drop("_date", "_lat", "_lon").withColumn("is_enriched", is_enriched(F.col("id_weather")))
 
 
+def enrich_in_place(keyed: DataFrame, keymap: DataFrame) -> DataFrame:
+    """As ``enrich_weather`` for rows that still carry the day and the position of their keys."""
+    placed = keyed.withColumns(
+        {
+            "_date": F.when(F.col("id_date").isNotNull() & F.col("id_site").isNotNull(), F.col("Date")),
+            "_lat": coord_key(F.col("Latitude")),
+            "_lon": coord_key(F.col("Longitude")),
+        }
+    )
+    joined = lookup_join(placed, weather_key_table(keymap), ["_date", "_lat", "_lon"])
+    return joined.drop("_date", "_lat", "_lon").withColumn("is_enriched", is_enriched(F.col("id_weather")))
+
+
 def unenriched(fact: DataFrame) -> DataFrame:
     """A fact for which no weather is known."""
     return fact.withColumns({"id_weather": F.lit(None).cast("bigint"), "is_enriched": F.lit(0)})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyfact.functions import col
+from skyfact.functions import col, known
 from skyfact.functions.columns import SENTINEL
 from skyfact.operators.quantiles import quantiles_wide
 
@@ -22,52 +22,55 @@ def column_values(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def per_column(df: DataFrame, cols: list[str], fields: dict[str, object]) -> DataFrame:
-    """One row per column from a single aggregation; ``fields`` maps a name to column -> aggregate."""
-    row = lambda c: F.struct(
-        F.lit(c).alias("column"), *[agg(c).alias(name) for name, agg in fields.items()]
-    )
-    return df.agg(F.array(*[row(c) for c in cols]).alias("rows")).select(F.inline("rows"))
+def per_column(df: DataFrame, cols: list[str], fields: dict[str, str]) -> DataFrame:
+    """One row per column from a single aggregation; ``{c}`` in an aggregate stands for the column."""
+    rows = []
+    for c in cols:
+        cells = ", ".join(f"'{name}', {agg.format(c=f'`{c}`')}" for name, agg in fields.items())
+        rows.append(f"named_struct('column', '{c}', {cells})")
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("rows")).select(F.inline("rows"))
 
 
-def _count_where(df: DataFrame, cols: list[str], test) -> DataFrame:
-    counts = per_column(df, cols, {"count": lambda c: F.count_if(test(col(c)))})
+def _count_where(df: DataFrame, cols: list[str], test: str) -> DataFrame:
+    counts = per_column(df, cols, {"count": f"count_if({test})"})
     return counts.filter(F.col("count") > 0).orderBy(F.desc("count"), "column")
 
 
 def sentinel_counts(df: DataFrame, cols: list[str], marker: float = SENTINEL) -> DataFrame:
     """Missing markers per column, most first, columns without any left out."""
-    return _count_where(df, cols, lambda c: c == marker)
+    return _count_where(df, cols, f"{{c}} = {marker}")
 
 
 def negative_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """Negative values per column, most first, columns without any left out."""
-    return _count_where(df, cols, lambda c: (c < 0) & ~F.isnan(c))
+    return _count_where(df, cols, "{c} < 0")
 
 
 def column_info(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Non-null count and type of every column."""
     types = dict(df.dtypes)
     names = cols or df.columns
-    return per_column(df, names, {"non_null": lambda c: F.count(col(c)), "type": lambda c: F.lit(types[c])})
+    counts = per_column(df, names, {"non_null": "count({c})"})
+    kinds = F.create_map(*[F.lit(x) for c in names for x in (c, types[c])])
+    return counts.withColumn("type", kinds[F.col("column")])
 
 
 def describe_columns(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
     """count, mean, std, min, quartiles and max per numeric column."""
     names = cols or numeric_columns(df)
-    real = lambda c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double"))
+    real = df.select(*[known(col(c).cast("double")).alias(c) for c in names])
     moments = per_column(
-        df,
+        real,
         names,
         {
-            "count": lambda c: F.count(real(c)),
-            "mean": lambda c: F.avg(real(c)),
-            "std": lambda c: F.stddev_samp(real(c)),
-            "min": lambda c: F.min(real(c)),
-            "max": lambda c: F.max(real(c)),
+            "count": "count({c})",
+            "mean": "avg({c})",
+            "std": "stddev_samp({c})",
+            "min": "min({c})",
+            "max": "max({c})",
         },
     )
-    quarts = quantiles_wide(column_values(df, names), [0.25, 0.5, 0.75], ["q1", "median", "q3"], exact)
+    quarts = quantiles_wide(column_values(real, names), [0.25, 0.5, 0.75], ["q1", "median", "q3"], exact)
     return moments.join(quarts, "column", "left").select(
         "column", "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
