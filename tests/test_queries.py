@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, connect
 from conftest import SF
+from skyfact.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,15 +18,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(spark, con, SF, name) == ""
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(spark, name):
     """No Python workers, no cross joins, and no single-task window or sort over observations or facts."""
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
