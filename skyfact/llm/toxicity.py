@@ -23,7 +23,12 @@ POSITIVES, UNLABELLED = 4000, 12000
 BUCKETS = 1 << 20
 FEATURES = 4000
 PREFIXES = (4, 5, 6, 7, 8)
-STEPS = 400
+#: A bucket gives a feature for each of these numbers of occurrences that a text reaches.
+LEVELS = (1, 2, 4)
+ALL = BUCKETS * len(LEVELS)
+STEPS = 1000
+#: Evidence (in nats) that a feature needs: more than chance gives to the best of all buckets.
+LEAST_GAIN = 10.0
 MIN_PRIOR, MAX_PRIOR = 0.005, 0.5
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -32,7 +37,10 @@ _LETTER = np.array([48 <= c <= 57 or 97 <= c <= 122 or c >= 128 for c in range(2
 
 
 def presence(column: pa.ChunkedArray | pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature bucket) for what every text has, each once; only buckets marked in ``wanted``."""
+    """(document, feature) for what every text has, each once; only of buckets marked in ``wanted``.
+
+    A feature is a bucket at a level: level * BUCKETS + bucket.
+    """
     buf, offsets = text_bytes(column)
     buf = _LOWER[buf]
     start, end, doc = spans(_LETTER[buf], offsets)
@@ -44,23 +52,27 @@ def presence(column: pa.ChunkedArray | pa.Array, wanted: np.ndarray | None = Non
             ok &= wanted[f]
         docs.append(doc[ok])
         feats.append(f[ok])
-    pairs = np.unique(np.concatenate(docs) * BUCKETS + np.concatenate(feats))
-    return pairs // BUCKETS, pairs % BUCKETS
+    pairs, n = np.unique(np.concatenate(docs) * BUCKETS + np.concatenate(feats), return_counts=True)
+    at = [np.flatnonzero(n >= least) for least in LEVELS]
+    doc = np.concatenate([pairs[a] // BUCKETS for a in at])
+    feat = np.concatenate([pairs[a] % BUCKETS + k * BUCKETS for k, a in enumerate(at)])
+    order = np.argsort(doc, kind="stable")
+    return doc[order], feat[order]
 
 
 @dataclass
 class Model:
-    """Weights by feature bucket, at most FEATURES of them, and the bias."""
+    """Weights of at most FEATURES features, and the bias."""
 
-    buckets: np.ndarray
+    features: np.ndarray
     weights: np.ndarray
     bias: float
 
     def score(self, column) -> np.ndarray:
-        table = np.zeros(BUCKETS, np.float32)
-        table[self.buckets] = self.weights
+        table = np.zeros(ALL, np.float32)
+        table[self.features] = self.weights
         wanted = np.zeros(BUCKETS, bool)
-        wanted[self.buckets] = True
+        wanted[self.features % BUCKETS] = True
         doc, feat = presence(column, wanted)
         z = np.bincount(doc, table[feat].astype(np.float64), len(column)) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -70,20 +82,20 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, features: int = FEATURES, steps: int = STEPS, decay: float = 1e-3) -> Model:
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, features: int = FEATURES, steps: int = STEPS, decay: float = 0.05, least_gain: float = LEAST_GAIN) -> Model:
     """Fit on lists of present buckets.  Without positives nothing is toxic; without text neither."""
     bias = float(np.log(MIN_PRIOR))
     if not pos or not unl:
         return Model(np.zeros(0, np.int64), np.zeros(0), bias)
-    df = lambda docs: np.bincount(np.concatenate(docs), minlength=BUCKETS).astype(np.float64)
+    df = lambda docs: np.bincount(np.concatenate(docs), minlength=ALL).astype(np.float64)
     np_, nu = len(pos), len(unl)
     cp, cu = df(pos), df(unl)
     # what tells positives from text at large, by the likelihood ratio of its presence
     p, u = (cp + 0.5) / (np_ + 1), (cu + cp + 0.5) / (nu + np_ + 1)
     gain = np.where(cp + cu >= 3, np_ * (p * np.log(p / u) + (1 - p) * np.log((1 - p) / (1 - u))), 0)
     chosen = np.sort(np.argsort(-gain, kind="stable")[:features])
-    chosen = chosen[gain[chosen] > 0]
-    where = np.full(BUCKETS, -1)
+    chosen = chosen[gain[chosen] > least_gain]
+    where = np.full(ALL, -1)
     where[chosen] = np.arange(len(chosen))
 
     def sparse(docs):
