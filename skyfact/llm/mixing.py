@@ -110,6 +110,7 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, weights: tupl
     Null sources are a source, ordered last; null ids are ids; equal ids are told apart by size and
     digest, and equal rows may change places.  An empty table gives empty frames.
     """
+    docs = docs.select(F.col("id").cast("long").alias("id"), "source", F.col("size").cast("long").alias("size"), "digest")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes.drop("n_docs"), share, weights)
     chunks = sizes.select("source", F.ceil(F.col("n_docs") / CHUNK_ROWS).alias("n_chunks"))

@@ -22,6 +22,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfact.llm.words import by_bytes
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Distinct words that a worker keeps encoded between batches.
@@ -147,20 +149,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-#: Texts that are encoded at a time, in characters.
-_AT_ONCE = 4 << 20
-
-
-def _groups(batch: pa.RecordBatch):
-    """Slices of a batch with at most _AT_ONCE characters, or one text."""
-    size = np.cumsum([len(x) if x is not None else 0 for x in batch["text"].cast(pa.binary()).to_pylist()])
-    lo = 0
-    while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + _AT_ONCE, "right")))
-        yield batch.slice(lo, hi - lo)
-        lo = hi
-
-
 def _ids_array(rows: list[list[int]]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     flat = np.fromiter((i for r in rows for i in r), np.int32, offsets[-1])
@@ -177,7 +165,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches):
         c = codec(model)
         for batch in batches:
-            for part in _groups(batch):
+            for part in by_bytes(batch):
                 yield pa.RecordBatch.from_arrays([part["id"], _ids_array(c.encode([t or "" for t in part["text"].to_pylist()]))], ["id", "ids"])
 
     return _text(docs).mapInArrow(run, "id long, ids array<int>")
@@ -201,7 +189,7 @@ def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches):
         c = codec(model)
         for batch in batches:
-            for part in _groups(batch):
+            for part in by_bytes(batch):
                 rows = c.encode([t or "" for t in part["text"].to_pylist()])
                 texts = [c.decode(r).decode(errors="replace") for r in rows]
                 yield pa.RecordBatch.from_arrays([part["id"], _ids_array(rows), pa.array(texts, pa.string())], ["id", "ids", "decoded"])

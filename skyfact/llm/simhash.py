@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from skyfact.llm.components import components
 from skyfact.llm.shared import stored
-from skyfact.llm.words import plain_words, spans, text_bytes
+from skyfact.llm.words import by_bytes
 
 SHINGLE = 3
 SEED = 42
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(id, text) -> id, fingerprint (long, its bits).  Whole texts; null counts as empty."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in by_bytes(b)):
             out = [fingerprint((t or b"").translate(_LOWER).split(), shingle) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.array(out, np.uint64).view(np.int64))], ["id", "fingerprint"])
 

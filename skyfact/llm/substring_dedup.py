@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfact.llm.shared import slices, text_size
-from skyfact.llm.words import hash_words, member, plain_words, sequence_hashes, sliding_min, spans, text_bytes
+from skyfact.llm.words import by_bytes, hash_words, member, plain_words, sequence_hashes, sliding_min, spans, text_bytes
 
 WINDOW = 20
 SLICE_BYTES = 8 << 20
@@ -108,7 +108,7 @@ def heavy_prefixes(docs: DataFrame, window: int = WINDOW, share: float = HEAVY_S
     """
 
     def count(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in by_bytes(b)):
             s = _Slice(pa.Table.from_batches([batch]), window)
             for length, h in zip(LADDER, sequence_hashes(s.words, LADDER)):
                 values, n = np.unique(h[s.at], return_counts=True)

@@ -3,8 +3,9 @@
 Confirmed toxic documents are the positives; all other text, whatever it is, is unlabelled.  With the
 class prior p, the risk of a scorer is p R+(pos) + max(0, R-(unlabelled) - p R-(pos)): the second
 part estimates the loss on clean text, and is kept from falling below zero, where fitting would go on
-only by memorising the positives.  The scorer is linear in the presence of hashed features of whole
-words and of word beginnings; numpy fits it on a bounded sample, and every document is scored.
+only by memorising the positives.  The scorer is linear in the presence of features: whole words and word
+beginnings, known by 62-bit hashes, that occur once, twice or four times.  Spark counts features over a
+bounded sample and keeps those with evidence; numpy fits their weights, and every document is scored.
 """
 
 from __future__ import annotations
@@ -16,151 +17,173 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfact.llm.words import hash_words, spans, text_bytes
+from skyfact.llm.shared import stored
+from skyfact.llm.words import by_bytes, hash_words, member, spans, text_bytes
 
 #: Bounds of the sample that is fitted on: toxic documents, and unlabelled ones.
 POSITIVES, UNLABELLED = 4000, 12000
-BUCKETS = 1 << 20
-FEATURES = 4000
+#: Most features of a model, and the evidence (in nats) that each needs: more than chance gives to the best of all.
+FEATURES, LEAST_GAIN = 4000, 10.0
 PREFIXES = (4, 5, 6, 7, 8)
-#: A bucket gives a feature for each of these numbers of occurrences that a text reaches.
+#: A word gives a feature for each of these numbers of occurrences that a text reaches.
 LEVELS = (1, 2, 4)
-ALL = BUCKETS * len(LEVELS)
 STEPS = 1000
-#: Evidence (in nats) that a feature needs: more than chance gives to the best of all buckets.
-LEAST_GAIN = 10.0
+DECAY = 0.05
 MIN_PRIOR, MAX_PRIOR = 0.005, 0.5
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 # letters, digits and all bytes of other scripts
 _LETTER = np.array([48 <= c <= 57 or 97 <= c <= 122 or c >= 128 for c in range(256)])
+_SIFT = np.uint64((1 << 20) - 1)
 
 
 def presence(column: pa.ChunkedArray | pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature) for what every text has, each once; only of buckets marked in ``wanted``.
+    """(document, feature) for what every text has, each once, by document; only of words in ``wanted`` (sorted).
 
-    A feature is a bucket at a level: level * BUCKETS + bucket.
+    A feature is a word's hash with the level in its two lowest bits.
     """
     buf, offsets = text_bytes(column)
     buf = _LOWER[buf]
     start, end, doc = spans(_LETTER[buf], offsets)
-    docs, feats = [], []
+    if wanted is not None:
+        sieve = np.zeros(int(_SIFT) + 1, bool)
+        sieve[(wanted >> np.uint64(2)) & _SIFT] = True
+    docs, feats = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for h in hash_words(buf, start, end, PREFIXES):
-        ok = h != 0
-        f = (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+        ok = np.flatnonzero(h != 0 if wanted is None else sieve[(h >> np.uint64(2)) & _SIFT])
+        f = h[ok] & ~np.uint64(3)
         if wanted is not None:
-            ok &= wanted[f]
+            exact = member(f, wanted)
+            ok, f = ok[exact], f[exact]
         docs.append(doc[ok])
-        feats.append(f[ok])
-    pairs, n = np.unique(np.concatenate(docs) * BUCKETS + np.concatenate(feats), return_counts=True)
-    at = [np.flatnonzero(n >= least) for least in LEVELS]
-    doc = np.concatenate([pairs[a] // BUCKETS for a in at])
-    feat = np.concatenate([pairs[a] % BUCKETS + k * BUCKETS for k, a in enumerate(at)])
-    order = np.argsort(doc, kind="stable")
-    return doc[order], feat[order]
+        feats.append(f)
+    d, f = np.concatenate(docs), np.concatenate(feats)
+    order = np.lexsort((f, d))
+    d, f = d[order], f[order]
+    cuts = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (f[1:] != f[:-1])]) if len(d) else np.zeros(0, np.int64)
+    n = np.diff(np.r_[cuts, len(d)])
+    at = [cuts[n >= least] for least in LEVELS]
+    level = np.repeat(np.arange(len(LEVELS), dtype=np.uint64), [len(a) for a in at])
+    at = np.concatenate(at)
+    order = np.argsort(d[at], kind="stable")
+    return d[at][order], (f[at] | level)[order]
 
 
 @dataclass
 class Model:
-    """Weights of at most FEATURES features, and the bias."""
+    """Features (sorted), their weights, and the bias."""
 
     features: np.ndarray
     weights: np.ndarray
     bias: float
 
     def score(self, column) -> np.ndarray:
-        table = np.zeros(ALL, np.float32)
-        table[self.features] = self.weights
-        wanted = np.zeros(BUCKETS, bool)
-        wanted[self.features % BUCKETS] = True
-        doc, feat = presence(column, wanted)
-        z = np.bincount(doc, table[feat].astype(np.float64), len(column)) + self.bias
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        doc, feat = presence(column, np.unique(self.features & ~np.uint64(3)))
+        known = member(feat, self.features)
+        doc, feat = doc[known], feat[known]
+        z = np.bincount(doc, self.weights[np.searchsorted(self.features, feat)], len(column)) + self.bias
+        return _sigmoid(z)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, features: int = FEATURES, steps: int = STEPS, decay: float = 0.05, least_gain: float = LEAST_GAIN) -> Model:
-    """Fit on lists of present buckets.  Without positives nothing is toxic; without text neither."""
-    bias = float(np.log(MIN_PRIOR))
-    if not pos or not unl:
-        return Model(np.zeros(0, np.int64), np.zeros(0), bias)
-    df = lambda docs: np.bincount(np.concatenate(docs), minlength=ALL).astype(np.float64)
-    np_, nu = len(pos), len(unl)
-    cp, cu = df(pos), df(unl)
-    # what tells positives from text at large, by the likelihood ratio of its presence
-    p, u = (cp + 0.5) / (np_ + 1), (cu + cp + 0.5) / (nu + np_ + 1)
-    gain = np.where(cp + cu >= 3, np_ * (p * np.log(p / u) + (1 - p) * np.log((1 - p) / (1 - u))), 0)
-    chosen = np.sort(np.argsort(-gain, kind="stable")[:features])
-    chosen = chosen[gain[chosen] > least_gain]
-    where = np.full(ALL, -1)
-    where[chosen] = np.arange(len(chosen))
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], features: np.ndarray, prior: float, steps: int = STEPS, decay: float = DECAY) -> Model:
+    """Fit on the documents' present features.  Without positives nothing is toxic; without text neither."""
+    b = float(np.log(MIN_PRIOR))
+    features = np.sort(features)
+    n_pos, n_unl, n = len(pos), len(unl), len(features)
+    if not n_pos or not n_unl or not n:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), b)
 
     def sparse(docs):
-        f = where[np.concatenate(docs)]
-        d = np.repeat(np.arange(len(docs)), [len(x) for x in docs])
-        return d[f >= 0], f[f >= 0]
+        return np.repeat(np.arange(len(docs)), [len(x) for x in docs]), np.searchsorted(features, np.concatenate(docs))
 
     (pd_, pf), (ud, uf) = sparse(pos), sparse(unl)
-    w, b = np.zeros(len(chosen)), bias
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    w = np.zeros(n)
+    m, v = np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
-        zp = np.bincount(pd_, w[pf], np_) + b
-        zu = np.bincount(ud, w[uf], nu) + b
+        zp = np.bincount(pd_, w[pf], n_pos) + b
+        zu = np.bincount(ud, w[uf], n_unl) + b
         # logistic loss: softplus(-z) for toxic, softplus(z) for clean
         clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp = -prior * _sigmoid(-zp) / np_
+        gp = -prior * _sigmoid(-zp) / n_pos
         if clean >= 0:
-            gp = gp - prior * _sigmoid(zp) / np_
-            gu = _sigmoid(zu) / nu
+            gp = gp - prior * _sigmoid(zp) / n_pos
+            gu = _sigmoid(zu) / n_unl
         else:  # step back from the part that went below zero
-            gp, gu = prior * _sigmoid(zp) / np_, -_sigmoid(zu) / nu
-        g = np.append(np.bincount(pf, gp[pd_], len(chosen)) + np.bincount(uf, gu[ud], len(chosen)) + decay / len(w) * w if len(w) else [], gp.sum() + gu.sum())
+            gp, gu = prior * _sigmoid(zp) / n_pos, -_sigmoid(zu) / n_unl
+        g = np.append(np.bincount(pf, gp[pd_], n) + np.bincount(uf, gu[ud], n) + decay / n * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
         w, b = w - move[:-1], b - move[-1]
-    return Model(chosen, w, float(b))
+    return Model(features, w, float(b))
 
 
-def _features(docs: DataFrame, ids: DataFrame) -> dict:
-    """Present buckets of the documents in ``ids``, a bounded list."""
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(x).view(np.int64))
 
-    def run(batches):
-        for batch in batches:
+
+def chosen_features(docs: DataFrame, n_pos: int, n_unl: int, most: int = FEATURES, least_gain: float = LEAST_GAIN) -> np.ndarray:
+    """Features of the sampled documents (text, positive) that tell positives from text at large.
+
+    The gain is the number of positives times the divergence of the feature's presence in them from that in all.
+    """
+
+    def count(batches):
+        for batch in (part for b in batches for part in by_bytes(b)):
             doc, feat = presence(batch["text"])
-            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([feat[a:b].astype("<i4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["id", "feats"])
+            positive = np.asarray(batch["positive"], np.int64)[doc]
+            values, at = np.unique(feat, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([_signed(values), pa.array(np.bincount(at, positive).astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))], ["feature", "p", "n"])
 
-    rows = docs.join(F.broadcast(ids), "id", "left_semi").mapInArrow(run, "id long, feats binary").collect()
-    return {(r.id, i): np.frombuffer(r.feats, "<i4").astype(np.int64) for i, r in enumerate(sorted(rows, key=lambda r: (r.id, bytes(r.feats))))}
+    counts = docs.mapInArrow(count, "feature long, p long, n long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).filter("p >= 3")
+    p = (F.col("p") + 0.5) / (n_pos + 1)
+    q = (F.col("n") + 0.5) / (n_pos + n_unl + 1)
+    gain = n_pos * (p * F.log(p / q) + (1 - p) * F.log((1 - p) / (1 - q)))
+    best = counts.filter(p > q).select("feature", gain.alias("gain")).filter(F.col("gain") > least_gain).orderBy(F.desc("gain"), "feature").limit(most)
+    return np.array([r.feature for r in best.collect()], np.int64).view(np.uint64)
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Documents (id, text) and labels (id, toxic) -> model.
 
-    The prior is the share of toxic among all labels.  The sample has the first ``positives`` toxic
-    and the first ``unlabelled`` other ids in the order of a digest; its features come to the driver, which fits.
+    The prior is the share of toxic among all labels.  The sample has the first ``positives`` toxic and the
+    first ``unlabelled`` other ids in the order of a digest; its chosen features come to the driver, which fits.
     """
     known = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
     count = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not count.n or not count.toxic:
-        return fit([], [], MIN_PRIOR)
+        return fit([], [], np.zeros(0, np.uint64), MIN_PRIOR)
     prior = min(max(count.toxic / count.n, MIN_PRIOR), MAX_PRIOR)
-    drawn = lambda ids, n: ids.orderBy(F.xxhash64("id"), "id").limit(n)
-    toxic = drawn(known.filter("toxic = 1").select("id"), positives)
-    pos = _features(docs, toxic)
-    others = drawn(docs.select("id").filter("id IS NOT NULL"), unlabelled)
-    unl = _features(docs, others)
-    return fit(list(pos.values()), list(unl.values()), prior)
+    drawn = lambda ids, n, mark: ids.orderBy(F.xxhash64("id"), "id").limit(n).withColumn("positive", F.lit(mark))
+    toxic = drawn(known.filter("toxic = 1").select("id"), positives, True)
+    others = drawn(docs.select("id").filter("id IS NOT NULL"), unlabelled, False)
+    # at most positives + unlabelled ids
+    sample = stored(docs.join(F.broadcast(toxic.unionAll(others)), "id").select("id", "text", "positive"), "toxicity-sample")
+    sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
+    features = chosen_features(sample.select("text", "positive"), sizes.get(True, 0), sizes.get(False, 0))
+    bases = np.unique(features & ~np.uint64(3))
+
+    def pick(batches):
+        for batch in (part for b in batches for part in by_bytes(b)):
+            doc, feat = presence(batch["text"], bases)
+            ok = member(feat, np.sort(features))
+            doc, feat = doc[ok], feat[ok]
+            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([batch["positive"], pa.array([feat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["positive", "feats"])
+
+    rows = sorted((r.positive, bytes(r.feats)) for r in sample.select("text", "positive").mapInArrow(pick, "positive boolean, feats binary").collect())
+    of = lambda mark: [np.frombuffer(f, np.uint64) for p, f in rows if p == mark]
+    return fit(of(True), of(False), features, prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(id, text) -> id, score (0 to 1), predicted; null and empty texts get the bias alone."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in by_bytes(b)):
             s = model.score(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["id", "score", "predicted"])
 
@@ -171,7 +194,7 @@ def filtered(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of (text, ...) that the model doesn't find toxic, with all their columns."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for b in batches for part in by_bytes(b)):
             yield batch.filter(pa.array(model.score(batch["text"]) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -124,3 +124,17 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
         return np.zeros(len(values), bool)
     at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
     return ordered[at] == values
+
+
+#: Bytes of text that are worked on at a time.
+AT_ONCE = 4 << 20
+
+
+def by_bytes(batch: pa.RecordBatch, column: str = "text", limit: int = AT_ONCE):
+    """Slices of a batch with at most ``limit`` bytes of text, or one text."""
+    ends = text_bytes(batch[column])[1][1:]
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
