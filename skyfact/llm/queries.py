@@ -55,7 +55,7 @@ def near_documents(spark: SparkSession, d: str) -> DataFrame:
 
 def license_labels(spark: SparkSession, d: str) -> DataFrame:
     out = licenses.scan(_texts(table(spark, d, "documents")))
-    return out.withColumnRenamed("id", "doc_id").withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+    return out.withColumnRenamed("id", "doc_id").withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")} | {"score": F.round("score", 9)})
 
 
 def archive(spark: SparkSession, d: str) -> DataFrame:

@@ -8,8 +8,8 @@ forward states of the prefix that it shares with the word before.
 The forward state of a prefix is the last piece of its best segmentation.  For a model of merge
 ranks, as the public vocabularies here are, the segmentation of a prefix is that of a shorter prefix and
 one more piece, and exactly one piece fits: the one that merging leaves apart from the piece before.
-So the pass needs only the prefix, as in Viterbi's algorithm, and gives the pieces that merging gives.
-Unigram models, whose scores add up, have the usual state: best score and last piece.
+So the pass needs only the prefix, as in Viterbi's algorithm, and gives the pieces that merging gives;
+sums of the ranks, which are no probabilities, would not.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from skyfact.llm.words import by_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Distinct words that a worker keeps encoded between batches.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 
 class Codec:
@@ -41,10 +41,17 @@ class Codec:
         self.rank = {p: (-sp.get_score(i), i) for p, i in self.ids.items()}
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.unknown = sp.unk_id()
-        self.longest = max(map(len, self.ids), default=1)
         self.bytes = [b"" if special(i) else bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        # pieces by their characters from the last to the first; "" marks the id of a piece
+        self.endings: dict = {}
+        for piece, i in self.ids.items():
+            node = self.endings
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[""] = i
+        self.size = n
+        self.pieces = [sp.id_to_piece(i) for i in range(n)]
+        self.apart: dict[int, bool] = {}
         self.cache: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -57,53 +64,58 @@ class Codec:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return parts
 
-    def stays_apart(self, before: str, piece: str) -> bool:
-        key = (before, piece)
-        if key not in self.apart:
-            self.apart[key] = self.merged(before + piece) == [before, piece]
-        return self.apart[key]
-
-    def is_whole(self, piece: str) -> bool:
-        if piece not in self.whole:
-            self.whole[piece] = self.merged(piece) == [piece]
-        return self.whole[piece]
-
-    def piece_ids(self, piece: str) -> list[int]:
-        if piece in self.ids:
-            return [self.ids[piece]]
-        return [self.byte[b] for b in piece.encode()] if self.byte else [self.unknown]
+    def stays_apart(self, before: int, piece: int) -> bool:
+        """Whether merging leaves the two as they are.  Numbers from ``size`` on are characters without a piece; -1 is none."""
+        strings = [self.pieces[i] if i < self.size else chr(i - self.size) for i in (before, piece) if i >= 0]
+        fits = self.apart[before << 32 | piece] = self.merged("".join(strings)) == strings
+        return fits
 
     def encode_words(self, words) -> dict[str, list[int]]:
         """Ids of distinct marked words, by one depth-first pass over their trie."""
         out: dict[str, list[int]] = {}
-        known, ids, apart = self.rank, self.ids, self.apart
-        last: list[str] = [""]
-        codes: list[list[int]] = [[]]
+        endings, apart, size = self.endings, self.apart, self.size
+        # for each prefix of the word: its last piece, and where that begins
+        last, begin = [-1], [0]
         before = ""
         for word in sorted(words):
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del last[shared + 1 :], codes[shared + 1 :]
+            del last[shared + 1 :], begin[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - self.longest), end):
-                    piece = word[start:end]
-                    if piece not in known and end - start > 1:
-                        continue
-                    if start:
-                        fits = apart.get((last[start], piece))
+                node, start = endings, end
+                while True:
+                    start -= 1
+                    node = node.get(word[start]) if start >= 0 else None
+                    if node is None:  # no piece ends here that fits
+                        start, piece = end - 1, size + ord(word[end - 1])
+                        break
+                    piece = node.get("")
+                    if piece is not None:
+                        fits = apart.get(last[start] << 32 | piece)
                         if fits is None:
                             fits = self.stays_apart(last[start], piece)
-                    else:
-                        fits = self.is_whole(piece)
-                    if fits:
-                        break
+                        if fits:
+                            break
                 last.append(piece)
-                codes.append([*codes[start], ids[piece]] if piece in ids else codes[start] + self.piece_ids(piece))
-            out[word] = codes[-1]
+                begin.append(start)
+            ids, at = [], len(word)
+            while at:
+                piece = last[at]
+                if piece < size:
+                    ids.append(piece)
+                else:
+                    ids += self.character_ids(chr(piece - size))[::-1]
+                at = begin[at]
+            ids.reverse()
+            out[word] = ids
             before = word
         return out
 
+    def character_ids(self, char: str) -> list[int]:
+        """Byte pieces of a character that has no piece, or the unknown id."""
+        return [self.byte[b] for b in char.encode()] if self.byte else [self.unknown]
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [marked_words(t) for t in texts]
         new = {w for words in cut for w in words if w not in self.cache}
