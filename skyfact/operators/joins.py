@@ -10,17 +10,28 @@ from pyspark.sql import functions as F
 from skyfact.functions import col
 from skyfact.session import materialize
 
-# A narrow look-up table of this many rows takes some tens of megabytes per executor.
+# A look-up table is broadcast up to these bounds, both measured on the stored table.
 BROADCAST_ROWS = 300_000
+BROADCAST_BYTES = 64 << 20
 # A key is hot when one task would get more rows of it than this.
 HOT_ROWS = 2_000_000
-SALTS = 64
 
 
-def fits_broadcast(table: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``table`` has at most ``max_rows`` rows.  Meant for stored tables: the count is cheap there."""
+def fits_broadcast(table: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether ``table`` is within both bounds.  Meant for stored tables, where a count is cheap; only one
+    with few rows is measured."""
     limit = BROADCAST_ROWS if max_rows is None else max_rows
-    return table.limit(limit + 1).count() <= limit
+    if table.limit(limit + 1).count() > limit:
+        return False
+    texts = [c for c, t in table.dtypes if t in ("string", "binary")]
+    nested = [c for c, t in table.dtypes if t.startswith(("array", "map", "struct"))]
+    width = F.lit(8 * len(table.columns))
+    for c in texts:
+        width = width + F.coalesce(F.octet_length(col(c)), F.lit(0))
+    for c in nested:
+        width = width + F.coalesce(F.octet_length(F.to_json(col(c))), F.lit(0))
+    size = table.agg(F.sum(width)).first()[0] or 0
+    return size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def _equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
@@ -32,12 +43,9 @@ def _equi_join(left: DataFrame, right: DataFrame, on: list[str], how: str, null_
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, the hottest ones if there are very many.
-
-    This only picks the keys that are dealt out; a key that is left out joins as any other.
-    """
+    """Keys with more than ``hot_rows`` rows, and in how many parts of about that size each is dealt."""
     counts = df.groupBy(*[col(c) for c in on]).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > hot_rows).orderBy(F.desc("_n")).limit(BROADCAST_ROWS).drop("_n")
+    return counts.filter(F.col("_n") > hot_rows).withColumn("_parts", F.ceil(F.col("_n") / hot_rows).cast("int")).drop("_n")
 
 
 def salted_join(
@@ -47,34 +55,33 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     hot_rows: int | None = None,
-    salts: int | None = None,
 ) -> DataFrame:
-    """Shuffled join that deals out the rows of hot keys over ``salts`` tasks.
+    """Shuffled join that deals out the rows of hot keys over as many tasks as their number asks for.
 
-    The left rows of a hot key are split by the partition they come from, the matching right
-    rows are repeated once per salt; all other keys stay as they are.  Left rows with a null key
-    never match, so they are dealt out as well instead of piling up in one task.
+    The left rows of a hot key are split by a digest of all their columns and the partition they come from,
+    which a repeated task gives again; the matching right rows are repeated once per part; all other
+    keys stay as they are.  Left rows with a null key never match, so they stay out of the shuffle.
     """
-    n = SALTS if salts is None else salts
+    unmatched = None
+    if not null_safe:
+        no_key = reduce(lambda a, b: a | b, [col(c).isNull() for c in on])
+        if how == "left":
+            absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name not in on]
+            unmatched = left.filter(no_key).select(*[col(c) for c in left.columns], *absent)
+        left = left.filter(~no_key)
     hot = materialize(hot_keys(left, on, HOT_ROWS if hot_rows is None else hot_rows), "hot-keys")
-    dealt = F.pmod(F.spark_partition_id(), F.lit(n))
     if hot.isEmpty():
-        left_salt, right_salted = F.lit(0), right.withColumn("_salt", F.lit(0))
+        joined = _equi_join(left, right, on, how, null_safe)
     else:
-        mark = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-        left = _equi_join(left, mark, on, "left", null_safe)
-        left_salt = F.when(F.col("_hot"), dealt).otherwise(F.lit(0))
-        all_salts = F.sequence(F.lit(0), F.lit(n - 1))
-        right_salted = (
-            _equi_join(right, mark, on, "left", null_safe)
-            .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))))
-            .drop("_hot")
-        )
-    if not null_safe:
-        no_key = reduce(lambda a, b: a | b, [col(c).isNull() for c in on])
-        left_salt = F.when(no_key, dealt).otherwise(left_salt)
-    left_salted = left.withColumn("_salt", left_salt).drop("_hot")
-    return _equi_join(left_salted, right_salted, [*on, "_salt"], how, null_safe).drop("_salt")
+        # At most one hot key per hot_rows rows; within the bounds the list is broadcast, else joined.
+        mark = F.broadcast(hot) if fits_broadcast(hot) else hot
+        marked = _equi_join(left, mark, on, "left", null_safe)
+        row = F.xxhash64(F.spark_partition_id(), *[col(c) for c in left.columns])
+        left_salted = marked.withColumn("_salt", F.coalesce(F.pmod(row, F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
+        parts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        right_salted = _equi_join(right, mark, on, "left", null_safe).withColumn("_salt", F.explode(parts)).drop("_parts")
+        joined = _equi_join(left_salted, right_salted, [*on, "_salt"], how, null_safe).drop("_salt")
+    return joined if unmatched is None else joined.unionByName(unmatched)
 
 
 def lookup_join(

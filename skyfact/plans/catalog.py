@@ -36,7 +36,8 @@ from skyfact.sources.observations import parse_obs_date, parse_obs_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PAGE = Filters(aod=(0.1, 3.0), months=(3, 10))
+# The page opens with everything chosen.
+PAGE = Filters()
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -89,7 +90,8 @@ def time_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentinel_counts(spark: SparkSession, d: str) -> DataFrame:
-    return P.sentinel_counts(_raw(spark, d), [WATER, ANGSTROM, *views.AOD_COLUMNS])
+    raw = _raw(spark, d)
+    return P.sentinel_counts(raw, P.numeric_columns(raw))
 
 
 def negative_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -97,12 +99,12 @@ def negative_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def describe_columns(spark: SparkSession, d: str) -> DataFrame:
-    table = P.describe_columns(_raw(spark, d), [WATER, ANGSTROM, LAT, LON, ELEV, *views.AOD_COLUMNS])
+    table = P.describe_columns(_raw(spark, d))
     return rounded(table, ["mean", "std", "min", "q1", "median", "q3", "max"], 4)
 
 
 def column_info(spark: SparkSession, d: str) -> DataFrame:
-    return P.column_info(_obs(spark, d), [SITE, "Date", WATER, ANGSTROM, *views.AOD_COLUMNS])
+    return P.column_info(_raw(spark, d))
 
 
 def box_stats(spark: SparkSession, d: str) -> DataFrame:

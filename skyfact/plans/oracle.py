@@ -6,14 +6,12 @@ from box arithmetic here and from ray casting there.
 
 from __future__ import annotations
 
-BANDS = [340, 380, 400, 440, 500, 675, 870, 1020]
-AOD = [f"AOD_{w}nm" for w in BANDS]
-MEASURES = [
-    "temperature_mean", "radiation_sum", "humidity_mean", "wind_speed_max",
-    "wind_direction_dominant", "evapotranspiration", "sunshine_duration_sec",
-]
-CORR = ["AOD_Value", "temperature_mean", "radiation_sum", "humidity_mean", "wind_speed_max", "evapotranspiration", "sunshine_duration_sec"]
-SCATTER = ["AOD_Value", "Angstrom_Exponent", "temperature_mean", "humidity_mean", "radiation_sum"]
+from skyfact.operators.analysis import CORR_COLUMNS as CORR
+from skyfact.operators.analysis import SCATTER_COLUMNS as SCATTER
+from skyfact.schemas import WEATHER_MEASURES as MEASURES
+from skyfact.sources.views import AOD_COLUMNS as AOD
+from skyfact.sources.views import BANDS
+
 
 
 def _csv(items) -> str:
@@ -53,7 +51,7 @@ CTES = {
         CAST(CASE WHEN s % 29 = 3 THEN 95 WHEN s % 2 = 1 AND abs(x) > 90 THEN x ELSE y END AS DOUBLE) AS lat,
         CAST(CASE WHEN s % 29 = 3 THEN -200 WHEN s % 2 = 1 AND abs(x) > 90 THEN y ELSE x END AS DOUBLE) AS lon,
         CAST(s * 10 + CASE WHEN s % 6 = 0 AND year(d) >= 1999 THEN 5 ELSE 0 END AS DOUBLE) AS elev,
-        CASE WHEN h % 10 = 0 THEN 'lev15' ELSE 'lev20' END AS level,
+        CASE WHEN h % 10 = 0 THEN 'lev15' ELSE 'lev20' END AS level, CAST(h % 25 AS INTEGER) AS n500,
         {_csv(_raw_aod(w) for w in BANDS)} FROM xy""",
     "obs": f"""SELECT site, d, source_doy, CAST(nullif(water, -999) AS DOUBLE) AS water,
         CAST(nullif(angstrom, -999) AS DOUBLE) AS angstrom,
@@ -113,7 +111,7 @@ CTES = {
         FROM fact LEFT JOIN dd ON fact.id_date = dd.id_date LEFT JOIN dw ON fact.id_wavelength = dw.id_wavelength
         LEFT JOIN ds ON fact.id_site = ds.id_site LEFT JOIN wkey ON fact.id_weather = wkey.id_weather""",
     "page": """SELECT * FROM mart WHERE Continent IS NOT NULL AND Particle_type IS NOT NULL
-        AND AOD_Value BETWEEN 0.1 AND 3.0 AND "Month" BETWEEN 3 AND 10""",
+        AND AOD_Value IS NOT NULL AND "Month" BETWEEN 1 AND 12""",
     "rich": "SELECT * FROM page WHERE is_enriched = 1",
     "bad": """SELECT CASE WHEN c = 1 THEN -Fact_ID ELSE Fact_ID END AS Fact_ID,
         CASE WHEN Fact_ID % 991 = 4 THEN NULL ELSE id_date END AS id_date, id_wavelength,
@@ -298,6 +296,8 @@ def _sample(source: str) -> str:
 _LOT = "md5('42:' || CAST(Fact_ID AS VARCHAR)), Fact_ID"
 _DAY = "strftime(d, '%Y-%m-%d') AS \"Date\""
 _PROFILED = {
+    "Day_of_Year": "source_doy",
+    "N[AOD_500nm]": "n500",
     "Precipitable_Water(cm)": "water",
     "440-870_Angstrom_Exponent": "angstrom",
     "Site_Latitude(Degrees)": "lat",
@@ -305,8 +305,10 @@ _PROFILED = {
     "Site_Elevation(m)": "elev",
     **{c: c for c in AOD},
 }
-_MEASURED = {k: v for k, v in _PROFILED.items() if v in ("water", "angstrom") or v in AOD}
-_INFO = {"AERONET_Site": ("site", "string"), "Date": ("d", "date"), **{k: (v, "float") for k, v in _MEASURED.items()}}
+_INFO = {
+    "AERONET_Site": ("site", "string"), "Date(dd:mm:yyyy)": ("d", "string"), "Time(hh:mm:ss)": ("raw_time", "string"),
+    "Data_Quality_Level": ("level", "string"), **{k: (v, "int" if v == "n500" else "float") for k, v in _PROFILED.items()},
+}
 _FACT = ["id_date", "id_wavelength", "id_site", "Particle_type", "AOD_Value", "Precipitable_Water", "Angstrom_Exponent"]
 _DATED = ["d", "lat", "lon"]
 _REQUEST = f"SELECT DISTINCT {_DAY}, lat AS Latitude, lon AS Longitude FROM obs AS o WHERE d IS NOT NULL " \
@@ -319,12 +321,12 @@ def oracle_sql() -> dict[str, str]:
         "clean_wide": _q(f"""SELECT site, {_DAY}, CAST(source_doy AS DOUBLE) AS Day_of_Year, water, angstrom, lat0 AS lat,
             lon0 AS lon, elev, {_csv(AOD)} FROM obs"""),
         "time_counts": _q("SELECT raw_time AS time, count(*) AS count FROM raw WHERE raw_time < '24' GROUP BY raw_time"),
-        "sentinel_counts": _counts(_MEASURED, "raw", "= -999"),
+        "sentinel_counts": _counts(_PROFILED, "raw", "= -999"),
         "negative_counts": _counts({c: c for c in AOD}, "obs", "< 0"),
         "describe_columns": _q(_union(_describe(c) for c in _PROFILED.items())),
         "column_info": _q(
             _union(
-                f"SELECT '{n}' AS \"column\", count({c}) AS non_null, '{t}' AS type FROM obs" for n, (c, t) in _INFO.items()
+                f"SELECT '{n}' AS \"column\", count({c}) AS non_null, '{t}' AS type FROM raw" for n, (c, t) in _INFO.items()
             )
         ),
         "box_stats": _q(_union(_box(c) for c in AOD)),

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-_own_scratch: dict[str, str] = {}
-
 
 def spark_session(app: str = "skyfact", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution on and UTC dates; ``conf`` wins over the defaults."""
@@ -37,30 +34,35 @@ _HUGE_METHOD_DEFAULT, HUGE_METHOD_LIMIT = "65535", "8000"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Runtime settings the jobs count on, where the session still has Spark's default."""
+    """Runtime settings the jobs count on, where the session still has Spark's default; ``spark_session`` applies them."""
     if spark.conf.get(HUGE_METHOD_CONF, _HUGE_METHOD_DEFAULT) == _HUGE_METHOD_DEFAULT:
         spark.conf.set(HUGE_METHOD_CONF, HUGE_METHOD_LIMIT)
     return spark
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a source with fewer splits than cores out over all cores; large sources stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-def scratch_dir(spark: SparkSession) -> str:
+def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where the setting is missing (tests, one machine).
+    On one machine the session's warehouse serves where the setting is missing; on a cluster a folder
+    of one machine would lose rows, so there a missing setting is an error.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = tempfile.mkdtemp(prefix="skyfact-")
-    return _own_scratch[app]
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one."""
+    return f"{scratch_root(spark)}/skyfact-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored; tables read from there are gone with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -8,19 +8,17 @@ from pyspark.sql.types import StringType
 from skyfact.functions.columns import coerce_numeric
 from skyfact.operators.mart import MART_NUMERIC
 
-INFER_ROWS = 5000
 
+def read_mart_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with types inferred from all of its rows, the known measures forced to numbers.
 
-def read_mart_csv(spark: SparkSession, path: str, infer_rows: int = INFER_ROWS) -> DataFrame:
-    """A CSV with types inferred from its first ``infer_rows`` rows, the known measures forced to numbers.
-
-    A measure is read as text first and cast after, so that a stray cell costs that cell only.
+    A measure is read as text and cast after, so that a stray cell costs that cell only.  Any other
+    column has a type that all its cells fit; a file with another header is an error.
     """
-    head = [r["value"] for r in spark.read.text(path).limit(infer_rows + 1).collect()]
-    sample = spark.sparkContext.parallelize(head, 1)
-    inferred = spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
+    reader = lambda: spark.read.option("header", True).option("enforceSchema", False)
+    inferred = reader().option("inferSchema", True).csv(path).schema
     for f in inferred:
         if f.name in MART_NUMERIC:
             f.dataType = StringType()
-    df = spark.read.schema(inferred).option("header", True).csv(path)
+    df = reader().option("mode", "FAILFAST").schema(inferred).csv(path)
     return coerce_numeric(df, MART_NUMERIC, "double")

@@ -19,13 +19,14 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 def read_observations(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """The known columns of a wide CSV with explicit types; a cell that does not parse is null.
 
-    ``columns`` names others to read as well, e.g. counts or quality levels, as text.
+    ``columns`` names others to read as well, e.g. counts or quality levels, as text.  All files
+    must have the same header: one with other columns, or in another order, is an error.
     """
     header = read_header(spark, path)
     wanted, _ = detect_columns(header)
     extra = [c for c in (columns or []) if c in header and c not in wanted]
     reader = spark.read.schema(csv_schema(header)).option("header", True).option("mode", "PERMISSIVE")
-    return reader.csv(path).select(*[col(c) for c in wanted + extra])
+    return reader.option("enforceSchema", False).csv(path).select(*[col(c) for c in wanted + extra])
 
 
 def parse_obs_date(df: DataFrame) -> DataFrame:

@@ -36,17 +36,27 @@ def named_polygons(df: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType) for f in POLYGON_SCHEMA])
 
 
-def read_country_polygons(spark: SparkSession, path: str) -> DataFrame:
-    """(Country, Continent, rings) from GeoJSON (collection or one feature per line) or Parquet, in degrees."""
+def _one_per_line(spark: SparkSession, path: str) -> bool:
+    """Whether the text has a whole feature in its first line; a collection, however laid out, has none."""
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).select(F.get_json_object("value", "$.type").alias("type"))
+    return [r["type"] for r in first.collect()] == ["Feature"]
+
+
+def read_country_polygons(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
+    """(Country, Continent, rings) from GeoJSON (collection or one feature per line) or Parquet, in degrees.
+
+    ``lines`` says that each line is a feature; without it, the text decides.  A feature that lacks
+    a property has null there; a source in which no feature has it is refused.
+    """
     if not path.rstrip("/").endswith(("json", "geojsonl")):
         return named_polygons(spark.read.parquet(path))
     schema = f"type string, features array<{_FEATURE}>, properties map<string,string>, " \
         "geometry struct<type:string, coordinates:string>"
-    whole = path.rstrip("/").endswith(("geojson", ".json"))
-    raw = spark.read.schema(schema).option("multiLine", whole).json(path)
+    by_line = _one_per_line(spark, path) if lines is None else lines
+    raw = spark.read.schema(schema).option("multiLine", not by_line).json(path)
     one = F.struct("type", "properties", "geometry")
     features = raw.select(F.explode(F.coalesce("features", F.array(one))).alias("f")).select("f.*")
-    keys = features.select(F.map_keys("properties").alias("k")).limit(1).collect()
-    have = set(keys[0]["k"] or []) if keys else set()
-    names = [c for c in (*PROPERTY_NAMES, *PROPERTY_NAMES.values()) if c in have]
+    known = [*PROPERTY_NAMES, *PROPERTY_NAMES.values()]
+    has = features.agg(*[F.bool_or(F.map_contains_key("properties", c)).alias(c) for c in known]).first()
+    names = [c for c in known if has[c]]
     return named_polygons(features.select(*[F.col("properties")[c].alias(c) for c in names], _rings().alias("rings")))

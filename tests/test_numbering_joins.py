@@ -66,7 +66,7 @@ def sides(spark):
 @pytest.mark.parametrize("hot_rows", [100, 1_000_000])
 def test_salted_join_is_a_join(sides, how, hot_rows):
     left, right = sides
-    got = J.salted_join(left, right, ["k"], how, hot_rows=hot_rows, salts=5)
+    got = J.salted_join(left, right, ["k"], how, hot_rows=hot_rows)
     assert rows(got.select("id", "k", "v")) == rows(left.join(right, "k", how).select("id", "k", "v"))
 
 
@@ -75,7 +75,7 @@ def test_salted_join_deals_out_hot_and_null_keys(sides, spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = J.salted_join(left, right, ["k"], hot_rows=900, salts=6)
+        got = J.salted_join(left, right, ["k"], hot_rows=900)
         where = got.select("k", F.spark_partition_id().alias("t")).groupBy("k")
         tasks = {r.k: r.tasks for r in where.agg(F.countDistinct("t").alias("tasks")).collect()}
         assert tasks[7] > 1 and tasks[None] > 1 and tasks[8] == 1
@@ -87,7 +87,7 @@ def test_salted_join_deals_out_hot_and_null_keys(sides, spark):
 def test_null_safe_salted_join(sides, spark):
     left, right = sides
     more = materialize(right.unionByName(spark.createDataFrame([(None, -5)], "k long, v long")), "right")
-    got = J.salted_join(left, more, ["k"], null_safe=True, hot_rows=100, salts=4)
+    got = J.salted_join(left, more, ["k"], null_safe=True, hot_rows=100)
     small = J.lookup_join(left, more, ["k"], null_safe=True)
     assert rows(got.select("id", "k", "v")) == rows(small.select("id", "k", "v"))
     assert got.filter("k IS NULL AND v = -5").count() == left.filter("k IS NULL").count() > 0

@@ -11,7 +11,7 @@ from skyfact.operators.constraints import constraint_violations
 from skyfact.operators.facts import fk_misses
 from skyfact.operators.quality import QualityError, dq_checks, dq_flat, dq_report, dq_summary, require_quality
 from skyfact.operators.sampling import sample_geo, sample_rows
-from skyfact.plans.daily import DailyJob, extract, run_daily, weather_gap
+from skyfact.plans.daily import DailyJob, NoWeather, extract, run_daily
 from skyfact.plans.defects import ORPHAN, planted
 from skyfact.schemas import LOADED_FACT_COLUMNS, RAW_DATE, WAREHOUSE
 from skyfact.sinks.tables import (
@@ -179,10 +179,26 @@ def test_daily_load(spark, job, tmp_path):
     assert result.star.site.filter("Country IS NOT NULL").count() > 0
     wide = extract(spark, job)
     assert RAW_DATE not in wide.columns
-    gap = weather_gap(wide, views.weather_daily(spark, SF))
-    assert 0 < gap.count() < wide.count()
-    with pytest.raises(RuntimeError):
-        weather_gap(wide, views.weather_daily(spark, SF).limit(0))
+    asked = spark.read.parquet(result.paths["weather_requests"]).count()
+    assert 0 < result.weather_missing.count() < asked
+    assert spark.read.parquet(result.paths["rejects"]).count() == result.rejects.count()
+
+
+def test_daily_load_without_weather(spark, job, tmp_path):
+    from dataclasses import replace
+
+    bare = replace(job, staging=str(tmp_path / "bare"))
+    result = run_daily(spark, bare)
+    assert result.weather_missing is None and result.star.fact.filter("is_enriched = 1").isEmpty()
+    # without a sink the rejects are those that a load would have left
+    assert result.rejects.count() == result.star.fact.filter("id_site IS NULL OR id_date IS NULL").count()
+    with pytest.raises(NoWeather):
+        run_daily(spark, replace(bare, weather_required=True))
+    elsewhere = views.weather_daily(spark, SF).limit(3).withColumn("Latitude", F.lit(-89.0))
+    for name, rows in (("none", elsewhere.limit(0)), ("other", elsewhere)):
+        rows.write.parquet(str(tmp_path / name))
+        with pytest.raises(NoWeather):
+            run_daily(spark, replace(bare, weather=str(tmp_path / name)))
 
 
 def test_gate_stops_the_load(spark, job, tmp_path):

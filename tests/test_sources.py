@@ -162,3 +162,55 @@ def test_mart_csv(spark, tmp_path):
     df = read_mart_csv(spark, str(path))
     assert dict(df.dtypes) == {"Site": "string", "AOD_Value": "double", "Month": "double", "count": "int"}
     assert [r["AOD_Value"] for r in df.orderBy("Site").collect()] == [0.5, None]
+
+
+def test_mart_csv_reads_all_rows_before_it_types(spark, tmp_path):
+    lines = [f"{i},0.5" for i in range(5200)] + ["ab,0.25", "9999999999,bad"]
+    (tmp_path / "m.csv").write_text("Code,AOD_Value\n" + "\n".join(lines))
+    df = read_mart_csv(spark, str(tmp_path / "m.csv"))
+    assert dict(df.dtypes) == {"Code": "string", "AOD_Value": "double"}
+    assert {r.Code for r in df.filter("Code > '9999'").collect()} >= {"ab", "9999999999"} and df.filter("Code IS NULL").isEmpty()
+    assert df.filter("AOD_Value IS NULL").count() == 1
+
+
+def _feature(name, continent="EUROPE"):
+    box = [[[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]]
+    props = {"ADMIN": name} | ({"CONTINENT": continent} if continent else {})
+    return {"type": "Feature", "properties": props, "geometry": {"type": "Polygon", "coordinates": box}}
+
+
+def test_geojson_lines_in_any_name(spark, tmp_path):
+    """One feature per line under .json, a collection on one line, and a first feature that lacks a property."""
+    features = [_feature("A", None), _feature("B"), _feature("C")]
+    (tmp_path / "lines.json").write_text("\n" + "\n".join(map(json.dumps, features)))
+    (tmp_path / "one.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    (tmp_path / "laid.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    for name in ("lines.json", "one.json", "laid.json"):
+        got = read_country_polygons(spark, str(tmp_path / name)).collect()
+        assert sorted((r.Country, r.Continent) for r in got) == [("A", None), ("B", "EUROPE"), ("C", "EUROPE")]
+    (tmp_path / "none.json").write_text(json.dumps(_feature("A", None)))
+    with pytest.raises(ValueError):
+        read_country_polygons(spark, str(tmp_path / "none.json"))
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "obs").mkdir()
+    names = ["AERONET_Site", "Date(dd:mm:yyyy)", "Day_of_Year", "Precipitable_Water(cm)", "440-870_Angstrom_Exponent", "Site_Latitude(Degrees)", "Site_Longitude(Degrees)", "Site_Elevation(m)"]
+    row = "a,1:1:2020,1,1,1,1,1,1"
+    (tmp_path / "obs" / "1.csv").write_text(",".join([*names, "AOD_340nm", "AOD_500nm"]) + f"\n{row},0.1,0.5\n")
+    (tmp_path / "obs" / "2.csv").write_text(",".join([*names, "AOD_500nm", "AOD_340nm"]) + f"\n{row},0.5,0.1\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_observations(spark, str(tmp_path / "obs")).collect()
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from skyfact import session
+
+    conf = SimpleNamespace(get=lambda key, default=None: {"spark.sql.warehouse.dir": "/wh"}.get(key, default))
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077", applicationId="app-1")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(SimpleNamespace(conf=conf, sparkContext=context))
+    context.master = "local[2]"
+    assert session.scratch_dir(SimpleNamespace(conf=conf, sparkContext=context)) == "/wh/scratch/skyfact-app-1"
