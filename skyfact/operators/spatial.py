@@ -1,4 +1,4 @@
-"""Points in polygons as an equi-join on latitude bands."""
+"""Points in polygons as an equi-join on cells of latitude and longitude."""
 
 from __future__ import annotations
 
@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfact.operators.joins import salted_join
+from skyfact.session import materialize
 
-BAND_DEGREES = 1.0
+CELL_DEGREES = 1.0
+# A point this near to a side lies on it: more than rounding, about a tenth of a millimetre.
+ON_SIDE_DEGREES = 1e-9
 # Sides in the index, at 32 bytes each, up to which it is sent to every executor.
 BROADCAST_EDGES = 2_000_000
 
@@ -28,35 +31,30 @@ def _edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, sides))
 
 
-def polygon_bands(polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
-    """One row per polygon and latitude band, with the sides that reach into the band.
+def polygon_cells(polygons: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+    """One row per polygon and cell that it reaches into: ``inside`` where no side comes near the cell,
+    else the sides that decide there.
 
-    A horizontal ray from a point can cross only sides of the point's own band, so a point is tested
-    against a few sides, not against the whole outline.
+    A horizontal ray from a point to the east can cross only sides of the point's own latitude band that end
+    east of its cell, so a point is tested against those, and in most cells against none.
     """
-    xs = lambda e: F.array(e["x1"], e["x2"])
     ys = lambda e: F.array(e["y1"], e["y2"])
-    outlines = polygons.select("Country", "Continent", _edges(F.col("rings")).alias("edges")).select(
-        "*",
-        F.flatten(F.transform("edges", xs)).alias("xs"),
-        F.flatten(F.transform("edges", ys)).alias("ys"),
-    )
-    first = F.floor(F.array_min("ys") / band).cast("int")
-    last = F.floor(F.array_max("ys") / band).cast("int")
-    rows = outlines.select(
-        "Country",
-        "Continent",
-        "edges",
-        F.array_min("xs").alias("xmin"),
-        F.array_max("xs").alias("xmax"),
-        F.explode(F.sequence(first, last)).alias("band"),
-    )
-    low, high = F.col("band") * band, (F.col("band") + 1) * band
-    near = F.filter(
-        "edges",
-        lambda e: (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low),
-    )
-    return rows.withColumn("edges", near)
+    outlines = polygons.select("Country", "Continent", _edges(F.col("rings")).alias("edges"))
+    all_y = F.flatten(F.transform("edges", ys))
+    reach = lambda x, d: F.floor((x + d * ON_SIDE_DEGREES) / cell).cast("int")
+    bands = outlines.withColumn("band", F.explode(F.sequence(reach(F.array_min(all_y), -1), reach(F.array_max(all_y), 1))))
+    low, high = F.col("band") * cell - ON_SIDE_DEGREES, (F.col("band") + 1) * cell + ON_SIDE_DEGREES
+    near = F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low))
+    bands = bands.withColumn("edges", near).filter(F.size("edges") > 0)
+    all_x = F.flatten(F.transform("edges", lambda e: F.array(e["x1"], e["x2"])))
+    cells = bands.withColumn("column", F.explode(F.sequence(reach(F.array_min(all_x), -1), reach(F.array_max(all_x), 1))))
+    west, east = F.col("column") * cell - ON_SIDE_DEGREES, (F.col("column") + 1) * cell + ON_SIDE_DEGREES
+    cut = F.exists("edges", lambda e: (F.least(e["x1"], e["x2"]) <= east) & (F.greatest(e["x1"], e["x2"]) >= west))
+    middle = _crossings(F.col("edges"), (F.col("column") + 0.5) * cell, (F.col("band") + 0.5) * cell) % 2 == 1
+    cells = cells.withColumn("inside", ~cut & middle).filter(cut | F.col("inside"))
+    deciding = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= west)
+    none = F.slice("edges", 1, 0)
+    return cells.select("Country", "Continent", "band", "column", "inside", F.when(F.col("inside"), none).otherwise(deciding).alias("edges"))
 
 
 def _crossings(edges: Column, x: Column, y: Column) -> Column:
@@ -70,43 +68,42 @@ def _crossings(edges: Column, x: Column, y: Column) -> Column:
 
 
 def _on_edge(edges: Column, x: Column, y: Column) -> Column:
-    """Whether the point lies on a side: no area spanned, and inside the side's box."""
+    """Whether the point lies on a side, as far as rounding can tell."""
+    eps = ON_SIDE_DEGREES
 
     def touches(e: Column) -> Column:
-        area = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
-        in_x = x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        in_y = y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-        return (area == 0) & in_x & in_y
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        area = dx * (y - e["y1"]) - dy * (x - e["x1"])
+        in_x = x.between(F.least(e["x1"], e["x2"]) - eps, F.greatest(e["x1"], e["x2"]) + eps)
+        in_y = y.between(F.least(e["y1"], e["y2"]) - eps, F.greatest(e["y1"], e["y2"]) + eps)
+        return (F.abs(area) <= eps * (F.abs(dx) + F.abs(dy))) & in_x & in_y
 
     return F.exists(edges, touches)
 
 
-def polygon_matches(points: DataFrame, polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
-    """Each point with each candidate polygon: ``within``, ``touches`` (null where there is none).
+def polygon_matches(points: DataFrame, polygons: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+    """Each point with each polygon that reaches into its cell: ``within``, ``touches`` (null where there is none).
 
     Even-odd over all rings of a polygon, so holes and several parts need no special case.
     """
-    index = polygon_bands(polygons, band).withColumnsRenamed({"Country": "_country", "Continent": "_continent"})
-    banded = points.withColumn("band", F.floor(F.col("Latitude") / band).cast("int"))
-    if index.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n")).first()["n"] <= BROADCAST_EDGES:
-        pairs = banded.join(F.broadcast(index), "band", "left")
-    else:
-        pairs = salted_join(banded, index, ["band"])
+    index = polygon_cells(polygons, cell).withColumnsRenamed({"Country": "_country", "Continent": "_continent"})
+    index = materialize(index, "polygon-cells")
     x, y = F.col("Longitude"), F.col("Latitude")
-    boxed = x.between(F.col("xmin"), F.col("xmax"))
+    placed = points.withColumns({"band": F.floor(y / cell).cast("int"), "column": F.floor(x / cell).cast("int")})
+    size = index.agg(F.coalesce(F.sum(F.size("edges") + 1), F.lit(0)).alias("n")).first()["n"]
+    if size <= BROADCAST_EDGES:
+        pairs = placed.join(F.broadcast(index), ["band", "column"], "left")
+    else:
+        pairs = salted_join(placed, index, ["band", "column"])
+    odd = F.col("inside") | (_crossings(F.col("edges"), x, y) % 2 == 1)
     return (
-        pairs.withColumns(
-            {
-                "_odd": boxed & (_crossings(F.col("edges"), x, y) % 2 == 1),
-                "_edge": boxed & _on_edge(F.col("edges"), x, y),
-            }
-        )
+        pairs.withColumns({"_odd": odd, "_edge": ~F.col("inside") & _on_edge(F.col("edges"), x, y)})
         .withColumns({"within": F.expr("_odd AND NOT _edge"), "touches": F.expr("_odd OR _edge")})
-        .drop("_odd", "_edge", "edges", "xmin", "xmax", "band")
+        .drop("_odd", "_edge", "edges", "inside", "band", "column")
     )
 
 
-def locate_country(points: DataFrame, polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
+def locate_country(points: DataFrame, polygons: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
     """Add Country and Continent; every point stays, once.
 
     A polygon that holds the point comes first, then one that merely touches it, and the lowest country
@@ -121,11 +118,11 @@ def locate_country(points: DataFrame, polygons: DataFrame, band: float = BAND_DE
             ),
         )
     )
-    hits = polygon_matches(points, polygons, band).groupBy(*ids).agg(best.alias("hit"))
+    hits = polygon_matches(points, polygons, cell).groupBy(*ids).agg(best.alias("hit"))
     return hits.select(*ids, "hit.Country", "hit.Continent")
 
 
-def multiple_matches(points: DataFrame, polygons: DataFrame, band: float = BAND_DEGREES) -> DataFrame:
+def multiple_matches(points: DataFrame, polygons: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
     """Points that several polygons hold or touch, and how many do."""
-    hits = polygon_matches(points, polygons, band).filter("touches")
+    hits = polygon_matches(points, polygons, cell).filter("touches")
     return hits.groupBy(*points.columns).agg(F.count(F.lit(1)).alias("polygons")).filter("polygons > 1")

@@ -26,7 +26,7 @@ from skyfact.operators.histogram import histogram
 from skyfact.operators.quality import dq_checks, dq_flat, dq_report, source_doy_mismatch
 from skyfact.operators.reshape import classify_particles, long_observations, metrics_long, with_labels
 from skyfact.operators.sampling import sample_geo
-from skyfact.operators.spatial import multiple_matches
+from skyfact.operators.spatial import locate_country, multiple_matches
 from skyfact.operators.weather import weather_missing, weather_requests
 from skyfact.plans.defects import planted
 from skyfact.plans.warehouse import Warehouse
@@ -196,6 +196,11 @@ def country_overlaps(spark: SparkSession, d: str) -> DataFrame:
     return multiple_matches(places, views.country_polygons(spark, d))
 
 
+def country_join(spark: SparkSession, d: str) -> DataFrame:
+    places = site_keys(_obs(spark, d).select(SITE, LAT, LON)).select("Latitude", "Longitude").distinct()
+    return locate_country(places, views.country_polygons(spark, d))
+
+
 def fact_star(spark: SparkSession, d: str) -> DataFrame:
     return plain(_star(spark, d).fact.select(FACT_COLUMNS))
 
@@ -376,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "weather_key_map": weather_key_map,
     "weather_conflicts": weather_conflict_keys,
     "country_overlaps": country_overlaps,
+    "country_join": country_join,
     "fact_star": fact_star,
     "fact_by_site_name": fact_by_site_name,
     "fact_unenriched": fact_unenriched,

@@ -361,6 +361,8 @@ def oracle_sql() -> dict[str, str]:
         "country_overlaps": _q("""SELECT site, o.lat AS Latitude, o.lon AS Longitude, count(DISTINCT n_name) AS polygons
             FROM (SELECT DISTINCT site, lat, lon FROM obs) AS o JOIN hits ON o.lat = hits.lat AND o.lon = hits.lon
             GROUP BY site, o.lat, o.lon HAVING count(DISTINCT n_name) > 1"""),
+        "country_join": _q("""SELECT p.lat AS Latitude, p.lon AS Longitude, n_name AS Country, r_name AS Continent
+            FROM points AS p LEFT JOIN located AS l ON p.lat = l.lat AND p.lon = l.lon"""),
         "fact_star": _q(f"SELECT Fact_ID, {_csv(_FACT)} FROM fact"),
         "fact_by_site_name": _q(f"""SELECT row_number() OVER (ORDER BY {_FACT_ORDER}) AS Fact_ID, {_csv(_FACT)} FROM
             (SELECT id_date, id_wavelength, id_site, particle AS Particle_type, v AS AOD_Value, water AS Precipitable_Water,

@@ -11,7 +11,7 @@ from skyfact.operators import analysis as A
 from skyfact.operators import profile as P
 from skyfact.operators.histogram import histogram
 from skyfact.operators.quantiles import quantiles, quantiles_wide
-from skyfact.operators.spatial import locate_country, multiple_matches
+from skyfact.operators.spatial import locate_country, multiple_matches, polygon_matches
 from skyfact.plans.page import figures
 from skyfact.schemas import POLYGON_SCHEMA
 
@@ -171,7 +171,7 @@ def test_points_in_polygons(spark, monkeypatch, broadcast_edges):
     points = spark.createDataFrame([c[:3] for c in CASES], "id int, Longitude double, Latitude double")
     got = {r.id: r.Country for r in locate_country(points, polygons(spark)).collect()}
     assert got == {c[0]: c[3] for c in CASES}
-    wide = {r.id: r.Country for r in locate_country(points, polygons(spark), band=7.0).collect()}
+    wide = {r.id: r.Country for r in locate_country(points, polygons(spark), cell=7.0).collect()}
     assert wide == got
     assert {r.id: r["polygons"] for r in multiple_matches(points, polygons(spark)).collect()} == {9: 2, 10: 2, 14: 2}
 
@@ -191,3 +191,27 @@ def test_even_odd_against_brute_force(spark):
     star = spark.createDataFrame([("S", "T", [ring])], POLYGON_SCHEMA)
     got = {r.id: r.Country is not None for r in locate_country(spark.createDataFrame(pts), star).collect()}
     assert got == {r.id: inside(r.Longitude, r.Latitude) for r in pts.itertuples()}
+
+
+def test_points_on_slanted_sides(spark):
+    """Points computed on slanted sides are on them, whatever the rounding; others are not."""
+    rng = np.random.default_rng(3)
+    ring = [(float(a), float(b)) for a, b in rng.uniform(-60, 60, (7, 2))]
+    rows = []
+    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+        for t in (0.25, 0.5, 0.75, 0.1, 1 / 3):
+            rows.append((len(rows), x1 + (x2 - x1) * t, y1 + (y2 - y1) * t))
+    shape = spark.createDataFrame([("S", "T", [ring])], POLYGON_SCHEMA)
+    frame = spark.createDataFrame(rows, "id int, Longitude double, Latitude double")
+    got = polygon_matches(frame, shape).collect()
+    assert len(got) == len(rows) and all(r.touches and not r.within for r in got)
+    away = spark.createDataFrame([(i, x + 1e-3, y + 1.7e-3) for i, x, y in rows], "id int, Longitude double, Latitude double")
+    assert sum(bool(r.touches) == bool(r.within) for r in polygon_matches(away, shape).collect()) == len(rows)
+
+
+def test_few_candidates_for_a_point(spark):
+    """Thirty polygons in a row of one latitude: a point meets the one of its cell, not all of the band."""
+    boxes = [(f"c{i:02}", "K", [[(6.0 * i, 0.0), (6.0 * i + 5, 0.0), (6.0 * i + 5, 5.0), (6.0 * i, 5.0)]]) for i in range(30)]
+    points = spark.createDataFrame([(i, 6.0 * i + 2.5, 2.5) for i in range(30)], "id int, Longitude double, Latitude double")
+    pairs = polygon_matches(points, spark.createDataFrame(boxes, POLYGON_SCHEMA)).collect()
+    assert len(pairs) == 30 and all(r.within for r in pairs)
