@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyfact.llm.shared import picked
+from skyfact.llm.shared import picked, stored
 
 BLOCK = 32
 SHARE = 1.5
@@ -75,16 +75,16 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     by_no = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     shares = targets.withColumn("upto", F.sum("target").over(by_no)).withColumn("all", F.sum("target").over(everything))
-    shares = shares.withColumn("upto", F.floor(F.col("upto") / F.col("all") * POINTS))
-    ends = shares.agg(F.sort_array(F.collect_list(F.struct("upto", "no"))).alias("ends"), F.max("all").alias("all"), F.count("*").alias("n"))
-    spark = targets.sparkSession
-    n = ends.select(F.coalesce(F.floor(F.col("all") / block + 0.5), F.lit(0))).first()[0]
+    shares = shares.withColumn("upto", F.floor(F.try_divide(F.col("upto"), F.col("all")) * POINTS))
+    # one entry per source; of equal ends, the first is that of the source with a share
+    ends = sorted((r.upto or 0, r.no, r["all"] or 0) for r in shares.select("upto", "no", "all").collect())
+    n = int(ends[0][2] / block + 0.5) if ends else 0
     point = F.pmod(F.pmod(F.col("slot") + 1, F.lit(POINTS)) * F.lit(STEP), F.lit(POINTS))
-    # the list has one entry per source; of equal ends, the first is that of the source with a share
-    slots = spark.range(n).withColumnRenamed("id", "slot").withColumn("point", point)
-    slots = slots.join(F.broadcast(ends.select("ends")), F.lit(True)) if n else slots.withColumn("ends", F.lit(None).cast(ends.schema["ends"].dataType))
-    no = F.element_at(F.filter("ends", lambda e: e["upto"] > F.col("point")), 1)["no"]
-    slots = slots.select("slot", F.coalesce(no, F.lit(0)).alias("no")).withColumn("chunk", F.floor(F.col("slot") / CHUNK_ROWS)).withColumn("one", F.lit(1).cast("long"))
+    no = F.lit(ends[-1][1] if ends else 0)
+    for upto, k, _ in ends[-2::-1]:
+        no = F.when(F.col("point") < upto, F.lit(k)).otherwise(no)
+    slots = targets.sparkSession.range(n).withColumnRenamed("id", "slot").withColumn("point", point).select("slot", no.alias("no"))
+    slots = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK_ROWS)).withColumn("one", F.lit(1).cast("long"))
     return _running(slots, ["no"], ["slot"], "chunk", "one", "rank").drop("one")
 
 
@@ -110,7 +110,8 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, weights: tupl
     Null sources are a source, ordered last; null ids are ids; equal ids are told apart by size and
     digest, and equal rows may change places.  An empty table gives empty frames.
     """
-    docs = docs.select(F.col("id").cast("long").alias("id"), "source", F.col("size").cast("long").alias("size"), "digest")
+    # sizes come from a scan of whole texts; they are counted once
+    docs = stored(docs.select(F.col("id").cast("long").alias("id"), "source", F.col("size").cast("long").alias("size"), "digest"), "mix-sizes")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_docs"))
     targets = source_targets(sizes.drop("n_docs"), share, weights)
     chunks = sizes.select("source", F.ceil(F.col("n_docs") / CHUNK_ROWS).alias("n_chunks"))
