@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyfact.session import materialize
+
 ACCURACY = 2_000
 # The sketch is off by at most 1 / ACCURACY of the rows; brackets reach four times as far.
 SLACK = 4.0 / ACCURACY
@@ -40,7 +42,9 @@ def quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
 
     A sketch encloses each wanted rank.  One aggregation then counts the rows outside of the
     enclosures stretch by stretch and those inside value by value, so equal values shrink before
-    the shuffle; the running count over that small remainder finds the two neighbours exactly.
+    the shuffle.  The remainder, still in proportion to the rows, is range-sorted and stored; counts per
+    range, and running counts inside each, find the two neighbours exactly.  A rank that its enclosure
+    does not hold, which a sketch within its bounds cannot cause, raises.
     """
     present = values.filter(F.col("value").isNotNull() & ~F.isnan("value"))
     # One row per column.
@@ -54,9 +58,18 @@ def quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
         .groupBy("column", "rows", "stretch", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("column").orderBy("stretch", F.col("v").asc_nulls_first())
+    # Ranges of (column, stretch, value) with about as many values each; equal values are one row.
+    order = [F.col("column"), F.col("stretch"), F.col("v").asc_nulls_first()]
+    ranged = shrunk.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    stored = materialize(ranged, "quantiles")
+    sums = stored.groupBy("column", "part").agg(F.sum("n").alias("sum"))
+    before = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per column and range.
+    offsets = sums.select("column", "part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("offset"))
+    running = Window.partitionBy("column", "part").orderBy("stretch", F.col("v").asc_nulls_first())
     upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = shrunk.withColumn("upto", upto)
+    ranked = stored.withColumn("within", upto).join(offsets, ["column", "part"]).withColumn("upto", F.col("offset") + F.col("within"))
+    lost = F.raise_error(F.lit("a rank lies outside of the values that enclose it")).cast("double")
     picks = []
     for p in probs:
         at = F.lit(p) * (F.col("rows") - 1)
@@ -64,6 +77,7 @@ def quantiles(values: DataFrame, probs: list[float]) -> DataFrame:
             holds = (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
             picks.append(F.max(F.when(holds, F.col("v"))).alias(f"e{len(picks)}"))
     found = ranked.groupBy("column", "rows").agg(*picks)
+    found = found.select("column", "rows", *[F.coalesce(f"e{i}", lost).alias(f"e{i}") for i in range(len(picks))])
     cells = []
     for i, p in enumerate(probs):
         a, b, at = F.col(f"e{2 * i}"), F.col(f"e{2 * i + 1}"), F.lit(p) * (F.col("rows") - 1)

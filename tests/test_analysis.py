@@ -215,3 +215,29 @@ def test_few_candidates_for_a_point(spark):
     points = spark.createDataFrame([(i, 6.0 * i + 2.5, 2.5) for i in range(30)], "id int, Longitude double, Latitude double")
     pairs = polygon_matches(points, spark.createDataFrame(boxes, POLYGON_SCHEMA)).collect()
     assert len(pairs) == 30 and all(r.within for r in pairs)
+
+
+def test_quantiles_of_very_many_values(spark):
+    """Millions of distinct values: exact, and no window over a whole column."""
+    from skyfact.operators.quantiles import quantiles
+
+    n = 2_000_000
+    frame = spark.range(0, n, 1, 8).select(F.lit("a").alias("column"), ((F.col("id") * 7919) % n / 16.0).alias("value"))
+    df = quantiles(frame, [0.0, 0.25, 0.5, 0.999, 1.0])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(column" not in plan or "part" in plan
+    for line in plan.splitlines():
+        if "windowspecdefinition(column" in line:
+            assert "part#" in line
+    got = {r.prob: r["quantile"] for r in df.collect()}
+    assert got == {p: pytest.approx(p * (n - 1) / 16.0) for p in got}
+
+
+def test_quantiles_raise_where_the_sketch_misses(spark, monkeypatch):
+    from skyfact.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "FEW_ROWS", 0)
+    monkeypatch.setattr(Q, "SLACK", -0.2)
+    frame = spark.range(1000).select(F.lit("a").alias("column"), F.col("id").cast("double").alias("value"))
+    with pytest.raises(Exception, match="encloses? it|enclose"):
+        Q.quantiles(frame, [0.5]).collect()
