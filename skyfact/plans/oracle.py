@@ -116,7 +116,7 @@ CTES = {
     "bad": """SELECT CASE WHEN c = 1 THEN -Fact_ID ELSE Fact_ID END AS Fact_ID,
         CASE WHEN Fact_ID % 991 = 4 THEN NULL ELSE id_date END AS id_date, id_wavelength,
         CASE WHEN Fact_ID % 997 = 3 THEN 1000000007 ELSE id_site END AS id_site,
-        CASE WHEN Fact_ID % 983 = 5 THEN 'dust' ELSE Particle_type END AS Particle_type,
+        CASE WHEN Fact_ID % 983 = 5 THEN 'dust' WHEN Fact_ID % 953 = 9 THEN 'fine and coarse' ELSE Particle_type END AS Particle_type,
         CASE WHEN Fact_ID % 977 = 6 THEN -1.0 WHEN Fact_ID % 971 = 7 THEN 3.75 ELSE AOD_Value END AS AOD_Value,
         CASE WHEN Fact_ID % 967 = 8 THEN -1.0 ELSE Precipitable_Water END AS Precipitable_Water,
         Angstrom_Exponent, id_weather, is_enriched
@@ -252,6 +252,12 @@ def _violations() -> str:
     rows = [row(t, r, c, f"count({name(c)}) - count(DISTINCT {name(c)})", tables[t]) for t, c, r in unique]
     for t, cols in required.items():
         rows += [row(t, "not null", c, f"count(*) - count({name(c)})", tables[t]) for c in cols]
+    limits = [
+        ("dim_wavelength", "Spectral_Band", "Spectral_Band", 10), ("dim_wavelength", "Sensitive_Aerosol", "Sensitive_Aerosol", 20),
+        ("dim_site", "AERONET_Site", "site", 150), ("dim_site", "Country", "n_name", 120), ("dim_site", "Continent", "r_name", 60),
+        ("fact_aod", "Particle_type", "Particle_type", 10),
+    ]
+    rows += [row(t, "length", c, f"count(*) FILTER (WHERE length({e}) > {n})", tables[t]) for t, c, e, n in limits]
     for c, target in foreign.items():
         rows.append(
             row("fact_aod", "foreign key", c, "count(*)", f"bad WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {target})")

@@ -93,6 +93,7 @@ class TableSpec:
     unique: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
     foreign: dict[str, str] = field(default_factory=dict)
+    lengths: dict[str, int] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -110,6 +111,7 @@ WAREHOUSE = {
             "id_wavelength",
             unique=("Wavelength_nm",),
             required=("id_wavelength", "Wavelength_nm"),
+            lengths={"Spectral_Band": 10, "Sensitive_Aerosol": 20},
         ),
         TableSpec(
             "dim_date",
@@ -124,6 +126,7 @@ WAREHOUSE = {
             "Elevation double, Country string, Continent string",
             "id_site",
             required=("id_site",),
+            lengths={"AERONET_Site": 150, "Country": 120, "Continent": 60},
         ),
         TableSpec(
             "dim_weather",
@@ -144,6 +147,7 @@ WAREHOUSE = {
                 "id_site": "dim_site",
                 "id_weather": "dim_weather",
             },
+            lengths={"Particle_type": 10},
         ),
     )
 }
