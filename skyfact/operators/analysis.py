@@ -157,3 +157,21 @@ def scatter_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     if len(keep) < 2:
         raise MissingColumns(f"a scatter matrix needs two columns, found {keep}")
     return complete_cases(df.select(*[col(c) for c in keep]), keep)
+
+
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
+    """The scatter of complete rows in bins x bins fields over min..max: lower corner and count of each that has rows.
+
+    At most bins * bins rows whatever the size; the last field of each axis holds its upper end.
+    """
+    _need(df, [x, y])
+    rows = complete_cases(df.select(col(x).cast("double").alias("x"), col(y).cast("double").alias("y")), ["x", "y"])
+    ends = rows.agg(F.struct(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).alias("e")).scalar()
+    place, corner = {}, {}
+    for c in ("x", "y"):
+        low, width = ends.getField(f"{c}0"), (ends.getField(f"{c}1") - ends.getField(f"{c}0")) / F.lit(bins)
+        step = F.coalesce(F.floor(F.try_divide(F.col(c) - low, width)), F.lit(0))
+        place[c] = F.least(step, F.lit(bins - 1)).cast("int").alias(f"{c}_bin")
+        corner[c] = (low + F.col(f"{c}_bin") * width).alias(c)
+    counts = rows.select(place["x"], place["y"]).groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+    return counts.select("x_bin", "y_bin", corner["x"], corner["y"], "count")

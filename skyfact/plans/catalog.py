@@ -29,6 +29,7 @@ from skyfact.operators.sampling import sample_geo
 from skyfact.operators.spatial import locate_country, multiple_matches
 from skyfact.operators.weather import weather_missing, weather_requests
 from skyfact.plans.defects import planted
+from skyfact.plans.roundtrips import ROUND_TRIPS
 from skyfact.plans.warehouse import Warehouse
 from skyfact.schemas import ANGSTROM, ELEV, FACT_COLUMNS, LAT, LON, RAW_TIME, SITE, WATER
 from skyfact.sources import views
@@ -58,7 +59,7 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _obs(spark: SparkSession, d: str) -> DataFrame:
-    return views.observations(spark, d)
+    return Warehouse.of(spark, d).observations
 
 
 def _star(spark: SparkSession, d: str) -> StarSchema:
@@ -160,7 +161,11 @@ def long_aod(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_wavelength_schema(spark: SparkSession, d: str) -> DataFrame:
-    return dim_wavelength(spark, [c for c in _obs(spark, d).columns if c.startswith("AOD_")])
+    """All bands of the source, measured or not, with their measured values."""
+    wide = _obs(spark, d)
+    counts = long_observations(wide, []).groupBy("Wavelength_nm").agg(F.count("AOD_Value").alias("measured"))
+    bands = dim_wavelength(spark, [c for c in wide.columns if c.startswith("AOD_")])
+    return bands.join(counts, "Wavelength_nm", "left").withColumn("measured", F.coalesce("measured", F.lit(0)))
 
 
 def dim_wavelength_data(spark: SparkSession, d: str) -> DataFrame:
@@ -176,19 +181,19 @@ def dim_site_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_weather_table(spark: SparkSession, d: str) -> DataFrame:
-    return dim_weather(views.weather_daily(spark, d))[0]
+    return dim_weather(Warehouse.of(spark, d).weather)[0]
 
 
 def weather_key_map(spark: SparkSession, d: str) -> DataFrame:
-    return plain(dim_weather(views.weather_daily(spark, d))[1])
+    return plain(dim_weather(Warehouse.of(spark, d).weather)[1])
 
 
 def weather_all_rows(spark: SparkSession, d: str) -> DataFrame:
-    return dim_weather(views.weather_daily(spark, d), one_row_per_key=False)[0]
+    return dim_weather(Warehouse.of(spark, d).weather, one_row_per_key=False)[0]
 
 
 def weather_conflict_keys(spark: SparkSession, d: str) -> DataFrame:
-    return plain(weather_conflicts(views.weather_daily(spark, d)))
+    return plain(weather_conflicts(Warehouse.of(spark, d).weather))
 
 
 def country_overlaps(spark: SparkSession, d: str) -> DataFrame:
@@ -236,11 +241,11 @@ def requests_for_weather(spark: SparkSession, d: str) -> DataFrame:
 
 
 def requests_left(spark: SparkSession, d: str) -> DataFrame:
-    return weather_requests(site_keys(_obs(spark, d)), views.weather_daily(spark, d))
+    return weather_requests(site_keys(_obs(spark, d)), Warehouse.of(spark, d).weather)
 
 
 def missing_weather(spark: SparkSession, d: str) -> DataFrame:
-    return weather_missing(weather_requests(site_keys(_obs(spark, d))), views.weather_daily(spark, d))
+    return weather_missing(weather_requests(site_keys(_obs(spark, d))), Warehouse.of(spark, d).weather)
 
 
 # --- mart and page --------------------------------------------------------------------------------
@@ -354,6 +359,10 @@ def sample_strata(spark: SparkSession, d: str) -> DataFrame:
     return plain(sample_geo(_star(spark, d), n=5, strata="id_wavelength").withColumnRenamed(SITE, "site"))
 
 
+def scatter_bins(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(A.scatter_bins(_page_enriched(spark, d), "temperature_mean", "AOD_Value", 20), ["x", "y"])
+
+
 QUERIES: dict[str, Query] = {
     "clean_wide": clean_wide,
     "time_counts": time_counts,
@@ -416,4 +425,6 @@ QUERIES: dict[str, Query] = {
     "constraint_violations": constraints,
     "sample_geo": sample,
     "sample_strata": sample_strata,
+    "scatter_bins": scatter_bins,
+    **ROUND_TRIPS,
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from skyfact.operators.analysis import CORR_COLUMNS as CORR
 from skyfact.operators.analysis import SCATTER_COLUMNS as SCATTER
+from skyfact.plans.roundtrips import BAD_CELL, BAD_DATE, EMPTY_CELL, NAN_CELL
 from skyfact.schemas import WEATHER_MEASURES as MEASURES
 from skyfact.sources.views import AOD_COLUMNS as AOD
 from skyfact.sources.views import BANDS
@@ -53,7 +54,7 @@ CTES = {
         CAST(s * 10 + CASE WHEN s % 6 = 0 AND year(d) >= 1999 THEN 5 ELSE 0 END AS DOUBLE) AS elev,
         CASE WHEN h % 10 = 0 THEN 'lev15' ELSE 'lev20' END AS level, CAST(h % 25 AS INTEGER) AS n500,
         {_csv(_raw_aod(w) for w in BANDS)} FROM xy""",
-    "obs": f"""SELECT site, d, source_doy, CAST(nullif(water, -999) AS DOUBLE) AS water,
+    "obs": f"""SELECT site, d, source_doy, n500, CAST(nullif(water, -999) AS DOUBLE) AS water,
         CAST(nullif(angstrom, -999) AS DOUBLE) AS angstrom,
         lat AS lat0, lon AS lon0, elev,
         CASE WHEN {_SWAPPED} THEN lon ELSE lat END AS lat, CASE WHEN {_SWAPPED} THEN lat ELSE lon END AS lon,
@@ -351,7 +352,8 @@ def oracle_sql() -> dict[str, str]:
         "long_aod": _q(f"""SELECT site, {_DAY}, particle AS Particle_type, 'AOD_' || w || 'nm' AS AOD_band, v AS AOD_Value,
             CAST(w AS DOUBLE) AS Wavelength_nm, {_BAND.format("w")} AS Spectral_Band, {_SENS.format("w")} AS Sensitive_Aerosol
             FROM measured"""),
-        "dim_wavelength_schema": _q("SELECT * FROM dw"),
+        "dim_wavelength_schema": _q("""SELECT dw.*, coalesce(n, 0) AS measured FROM dw
+            LEFT JOIN (SELECT w, count(v) AS n FROM measured GROUP BY w) AS m ON m.w = dw.Wavelength_nm"""),
         "dim_wavelength_data": _q(f"""SELECT CAST(row_number() OVER (ORDER BY w) AS INTEGER) AS id_wavelength,
             CAST(w AS DOUBLE) AS Wavelength_nm, {_BAND.format("w")} AS Spectral_Band, {_SENS.format("w")} AS Sensitive_Aerosol
             FROM (SELECT DISTINCT w FROM measured) AS t"""),
@@ -429,5 +431,48 @@ def oracle_sql() -> dict[str, str]:
         "sample_geo": _sample(f"SELECT * FROM fact ORDER BY {_LOT} LIMIT 50"),
         "sample_strata": _sample(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_wavelength ORDER BY {_LOT})
             AS rn FROM fact) AS t WHERE rn <= 5"""),
+        **_round_trips(),
     }
     return sql
+
+
+def _round_trips() -> dict[str, str]:
+    aod = _csv([f"CASE WHEN n500 IN ({BAD_CELL}, {NAN_CELL}, {EMPTY_CELL}) THEN NULL ELSE AOD_340nm END AS AOD_340nm", *AOD[1:]])
+    sides = {"x0": "min(x0)", "x1": "max(x1)", "y0": "min(y0)", "y1": "max(y1)"}
+    return {
+        "csv_ingest": _q(f"""SELECT obs.site, CASE WHEN n500 <> {BAD_DATE} THEN strftime(obs.d, '%Y-%m-%d') END AS "Date", obs.water,
+            lat0 AS lat, lon0 AS lon, {aod} FROM obs"""),
+        "csv_times": _q("""SELECT CASE WHEN raw_time < '24' THEN raw_time END AS time, count(*) AS count FROM raw GROUP BY 1"""),
+        "star_round_trip": _q(f"""SELECT Fact_ID, {_csv("fact." + c for c in _FACT)}, n_name AS Country, "Month" FROM fact
+            LEFT JOIN ds ON fact.id_site = ds.id_site LEFT JOIN dd ON fact.id_date = dd.id_date"""),
+        "weather_files": _q(
+            _union(
+                f"SELECT {_DAY}, lat AS Latitude, lon AS Longitude, {_csv(MEASURES)}, '{k}' AS kind FROM weather" for k in ("parquet", "csv", "json")
+            )
+        ),
+        "geojson_countries": _q(f"""SELECT n_name AS Country, r_name AS Continent, CAST(n AS INTEGER) AS rings, CAST(5 * n AS INTEGER) AS points,
+            {_csv(f"CAST({e} AS DOUBLE) AS {n}" for e, n in zip(sides, ("min_lon", "max_lon", "min_lat", "max_lat")))} FROM
+            (SELECT n_name, r_name, {_csv(f"{v} AS {k}" for k, v in sides.items())}, max(CASE WHEN k % 5 IN (1, 3) THEN 2 ELSE 1 END) AS n
+            FROM boxes GROUP BY n_name, r_name) AS t"""),
+        "mart_csv": _q("""SELECT "Site", "Date", CAST("Month" AS DOUBLE) AS "Month", Wavelength_nm, Country, Particle_type, AOD_Value, temperature_mean, is_enriched FROM mart"""),
+        "warehouse_load": _q("""SELECT Fact_ID, id_date, id_wavelength, id_site, id_weather, AOD_Value, CASE WHEN id_date IS NULL OR
+            id_wavelength IS NULL OR id_site IS NULL OR AOD_Value IS NULL THEN 'rejected' ELSE 'loaded' END AS status FROM fact"""),
+        "warehouse_dims": _q("""SELECT id_site, site, lat AS Latitude, lon AS Longitude, elev AS Elevation, n_name AS Country, r_name AS Continent FROM ds"""),
+        "fact_upgraded": _q("""SELECT Fact_ID, id_date, id_site, CAST(NULL AS BIGINT) AS id_weather, AOD_Value, 0 AS is_enriched FROM fact"""),
+        "bulk_csv": _q(f"SELECT Fact_ID, {_csv(_FACT)} FROM fact"),
+        "sample_csv": _q(f"""SELECT Fact_ID, ds.site, n_name AS Country, AOD_Value FROM (SELECT * FROM fact ORDER BY {_LOT} LIMIT 50) AS f
+            LEFT JOIN ds ON f.id_site = ds.id_site"""),
+        "dq_record": f"""SELECT overall, completeness, consistency, uniqueness, validity, facts, CAST(3 AS BIGINT) AS parts, CAST(80 AS DOUBLE) AS threshold,
+            'here' AS artifact, true AS used_weather, overall >= 80 AS passed, true AS stamped FROM ({_score()}) AS s""",
+        "dq_text": f"""SELECT line, round(pct, 2) AS pct FROM (SELECT unnest(['Quality of the transformed data', 'Completeness', 'Consistency',
+            'Uniqueness', 'Validity']) AS line, unnest([overall, completeness, consistency, uniqueness, validity]) AS pct FROM ({_score()}) AS s) AS t""",
+        "count_columns": _q("SELECT n500 AS n, count(*) AS count FROM raw GROUP BY n500"),
+        "fact_by_name_weather": _q("""SELECT id_site, CASE WHEN id_weather IS NULL THEN 0 ELSE 1 END AS is_enriched, count(*) AS facts,
+            count(id_weather) AS with_weather, count(DISTINCT id_weather) AS weather_rows FROM measured AS m LEFT JOIN dd ON m.d = dd.d
+            LEFT JOIN ds ON m.site = ds.site LEFT JOIN wkey ON m.d = wkey.d AND ds.lat = wkey.lat AND ds.lon = wkey.lon GROUP BY 1, 2"""),
+        "scatter_bins": _q("""SELECT CAST(bx AS INTEGER) AS x_bin, CAST(by_ AS INTEGER) AS y_bin, round(x0 + bx * wx, 6) AS x, round(y0 + by_ * wy, 6) AS y, count(*) AS count
+            FROM (SELECT least(floor((temperature_mean - x0) / wx), 19) AS bx, least(floor((AOD_Value - y0) / wy), 19) AS by_, x0, wx, y0, wy FROM rich,
+            (SELECT min(temperature_mean) AS x0, (max(temperature_mean) - min(temperature_mean)) / 20 AS wx, min(AOD_Value) AS y0,
+            (max(AOD_Value) - min(AOD_Value)) / 20 AS wy FROM rich) AS e WHERE temperature_mean IS NOT NULL AND AOD_Value IS NOT NULL) AS t
+            GROUP BY bx, by_, x0, wx, y0, wy"""),
+    }

@@ -5,37 +5,60 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyfact.operators.facts import StarSchema
 from skyfact.operators.mart import dashboard_mart
 from skyfact.plans.star import build_star
 from skyfact.schemas import LOADED_FACT_COLUMNS
-from skyfact.session import materialize
+from skyfact.session import clear_scratch, materialize
 from skyfact.sources import views
 
 
+SOURCE_TABLES = ("lineitem", "supplier", "nation", "region")
+
+
 class Warehouse:
     """Lazily stored tables; every property is a scan of what was written."""
 
-    _open: dict[tuple[str, str], Warehouse] = {}
+    _open: dict[tuple, Warehouse] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        key = (spark.sparkContext.applicationId, sf_dir, cls._stamp(spark, sf_dir))
         if key not in cls._open:
             cls._open[key] = cls(spark, sf_dir)
         return cls._open[key]
 
+    @staticmethod
+    def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+        """Names, sizes and times of the input files: other files make another warehouse."""
+        paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+        listed = files.select("path", "length", "modificationTime").agg(F.xxhash64(F.sort_array(F.collect_list(F.struct("path", "length", F.unix_micros("modificationTime")))))).first()
+        return (listed[0],)
+
+    @classmethod
+    def close(cls, spark: SparkSession) -> None:
+        """Forget the stored tables of this application and delete them."""
+        for key in [k for k in cls._open if k[0] == spark.sparkContext.applicationId]:
+            del cls._open[key]
+        clear_scratch(spark)
+
+    @cached_property
+    def observations(self) -> DataFrame:
+        return materialize(views.observations(self.spark, self.sf_dir), "observations")
+
+    @cached_property
+    def weather(self) -> DataFrame:
+        return materialize(views.weather_of(self.observations), "weather")
+
     @cached_property
     def star(self) -> StarSchema:
-        star = build_star(
-            views.observations(self.spark, self.sf_dir),
-            views.country_polygons(self.spark, self.sf_dir),
-            views.weather_daily(self.spark, self.sf_dir),
-        )
+        star = build_star(self.observations, views.country_polygons(self.spark, self.sf_dir), self.weather)
         return star.with_fact(materialize(star.fact.select(LOADED_FACT_COLUMNS), "fact_aod"))
 
     @cached_property

@@ -89,18 +89,22 @@ def country_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def station_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def station_days(wide: DataFrame) -> DataFrame:
     """Distinct (Date, Latitude, Longitude) of the cleaned observations."""
-    df = observations(spark, sf_dir).select(
+    df = wide.select(
         "Date", col(LAT).cast("double").alias("Latitude"), col(LON).cast("double").alias("Longitude")
     )
     return round_coords(fix_swapped_coords(df)).distinct()
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weather_of(observations(spark, sf_dir))
+
+
+def weather_of(wide: DataFrame) -> DataFrame:
     """Daily weather for a third of the station days; some rows come twice, some with a second value."""
     d, q = F.dayofyear("Date"), (F.col("Latitude") * 7 + F.col("Longitude") * 3 + 2000).cast("int")
-    days = station_days(spark, sf_dir).withColumns({"d": d, "q": q}).filter("(d + q) % 3 = 0")
+    days = station_days(wide).withColumns({"d": d, "q": q}).filter("(d + q) % 3 = 0")
     copies = F.when((F.col("d") + F.col("q")) % 30 == 0, F.array(F.lit(0), F.lit(0))).when(
         (F.col("d") + F.col("q")) % 33 == 0, F.array(F.lit(0), F.lit(1))
     )
