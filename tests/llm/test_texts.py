@@ -124,7 +124,7 @@ def test_mixing(spark):
     for s, t in target.items():
         assert abs(got[s] - t) <= 4 * mixing.BLOCK
     again, _ = mixture(spark, frame(spark, rows[::-1]).repartition(7))
-    key = lambda r: (r.id is None, r.id or 0, r.size, r.taken)
+    key = lambda r: (r.id is None, r.id or 0, r.size, r.no, r.at_0, r.at_1)
     assert sorted(out, key=key) == sorted(again, key=key)
     # every stretch of the schedule has the sources in their proportions
     slots = mixed.select("slot", "no").distinct().orderBy("slot").collect()
