@@ -207,3 +207,19 @@ def test_gate_stops_the_load(spark, job, tmp_path):
     with pytest.raises(QualityError):
         run_daily(spark, replace(job, threshold=99.99), parquet_sink(str(tmp_path / "db")))
     assert not (tmp_path / "db").exists()
+
+
+def test_texts_that_do_not_fit_the_warehouse(spark, star):
+    from dataclasses import replace
+
+    long_name = F.when(F.col("id_site") == 1, F.repeat(F.lit("x"), 151)).otherwise(F.col("AERONET_Site"))
+    broken = replace(star, site=star.site.withColumn("AERONET_Site", long_name))
+    got = {(r.table, r.column): r.violations for r in constraint_violations(broken).filter("rule = 'length'").collect()}
+    assert got.pop(("dim_site", "AERONET_Site")) == 1 and set(got.values()) == {0} and ("fact_aod", "Particle_type") in got
+
+
+def test_fact_is_read_three_times(spark, star, monkeypatch):
+    """Quality: values, ids, and the stored key triples; every other look at the fact is a look at those."""
+    plan = dq_report(star)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation" in line and "AOD_Value#" in line or "Relation" in line and "Fact_ID#" in line]
+    assert len(scans) <= 2
