@@ -98,20 +98,24 @@ def map_layers(df: DataFrame, layers: list[str], size_mode: str = "value") -> Da
 
 
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(x, y, r) for all pairs of columns over the complete rows, from one aggregation.
+    """(x, y, r) for all pairs of columns over the complete rows.
 
-    Pearson's r from moments; null where a column is constant.
+    Means first, then plain sums of centred products; null where a column is constant.
     """
     keep = [c for c in (cols or CORR_COLUMNS) if c in df.columns]
     if len(keep) < 2:
         raise MissingColumns(f"a correlation needs two columns, found {keep}")
     rows = complete_cases(df.select(*[col(c).cast("double").alias(c) for c in keep]), keep)
+    means = rows.agg(F.struct(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(keep)]).alias("means")).scalar()
+    centred = rows.select(*[(col(c) - means.getField(f"m{i}")).alias(f"d{i}") for i, c in enumerate(keep)])
+    pairs = list(combinations_with_replacement(range(len(keep)), 2))
+    sums = centred.agg(*[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"s{i}_{j}") for i, j in pairs])
     cells = []
-    for a, b in combinations_with_replacement(keep, 2):
-        r = f"try_divide(covar_pop(`{a}`, `{b}`), stddev_pop(`{a}`) * stddev_pop(`{b}`))"
-        for x, y in {(a, b), (b, a)}:
-            cells.append(f"named_struct('x', '{x}', 'y', '{y}', 'r', {r})")
-    return rows.agg(F.expr(f"array({', '.join(cells)})").alias("cells")).select(F.inline("cells"))
+    for i, j in pairs:
+        r = F.try_divide(F.col(f"s{i}_{j}"), F.sqrt(F.col(f"s{i}_{i}")) * F.sqrt(F.col(f"s{j}_{j}")))
+        for x, y in {(i, j), (j, i)}:
+            cells.append(F.struct(F.lit(keep[x]).alias("x"), F.lit(keep[y]).alias("y"), r.alias("r")))
+    return sums.select(F.inline(F.array(*cells)))
 
 
 def _xy(df: DataFrame, x: str, y: str) -> DataFrame:

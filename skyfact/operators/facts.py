@@ -14,6 +14,7 @@ from skyfact.operators.joins import lookup_join
 from skyfact.operators.numbering import assign_ids
 from skyfact.operators.reshape import classify_particles, long_observations
 from skyfact.schemas import FACT_KEYS, FACT_MEASURES, FACT_RENAME, LOADED_FACT_COLUMNS, SITE, aod_columns
+from skyfact.session import materialize
 
 
 @dataclass(frozen=True)
@@ -109,9 +110,14 @@ def build_fact(
     site: DataFrame,
     weather_keys: DataFrame | None = None,
     site_key: str = "place",
+    store: bool = False,
 ) -> DataFrame:
-    """Facts without a number yet: one row per measured (observation, wavelength)."""
-    return keyed_to_fact(keyed_observations(wide, date, site, weather_keys, site_key), wavelength)
+    """Facts without a number yet: one row per measured (observation, wavelength).
+
+    ``store`` writes the keyed rows first, for a reader that looks at the facts twice, as numbering does.
+    """
+    keyed = keyed_observations(wide, date, site, weather_keys, site_key)
+    return keyed_to_fact(materialize(keyed, "keyed") if store else keyed, wavelength)
 
 
 def number_facts(fact: DataFrame) -> DataFrame:

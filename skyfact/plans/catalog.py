@@ -212,7 +212,7 @@ def fact_star(spark: SparkSession, d: str) -> DataFrame:
 
 def fact_by_site_name(spark: SparkSession, d: str) -> DataFrame:
     wide, star = _obs(spark, d), _star(spark, d)
-    fact = build_fact(wide, star.date, star.wavelength, star.site, site_key="name")
+    fact = build_fact(wide, star.date, star.wavelength, star.site, site_key="name", store=True)
     return plain(number_facts(fact))
 
 

@@ -196,7 +196,7 @@ def fact_by_name_weather(spark: SparkSession, d: str) -> DataFrame:
     """Sites found by their name alone, and weather by day and position of the site that was found."""
     house = Warehouse.of(spark, d)
     star = house.star
-    fact = build_fact(house.observations, star.date, star.wavelength, star.site, star.weather_keys, site_key="name")
+    fact = build_fact(house.observations, star.date, star.wavelength, star.site, star.weather_keys, site_key="name", store=True)
     return number_facts(fact).groupBy("id_site", "is_enriched").agg(F.count(F.lit(1)).alias("facts"), F.count("id_weather").alias("with_weather"), F.countDistinct("id_weather").alias("weather_rows"))
 
 
