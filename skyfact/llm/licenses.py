@@ -51,10 +51,19 @@ def phrase_pattern(phrases) -> str:
     return f"(?<![^{SEPARATOR}])(?:{each})(?![^{SEPARATOR}])"
 
 
-def document_frequencies(docs: DataFrame, words: list[str]) -> tuple[dict[str, int], int]:
-    """How many texts have each of the words, and the number of texts: a list as long as ``words``."""
-    all_words = F.regexp_extract_all(lowered(F.col("text")), F.lit(WORD), F.lit(0))
-    here = docs.select(F.array_intersect(all_words, F.array(*[F.lit(w) for w in words])).alias("here"))
+def may_hold(text: Column, phrases) -> Column:
+    """Whether all words of any phrase are somewhere in the text: what the pattern needs, at the price of a search for bytes."""
+    out = F.lit(False)
+    for p in phrases:
+        every = F.lit(True)
+        for w in sorted(p.split(), key=len, reverse=True):
+            every = every & F.contains(text, F.lit(w))
+        out = out | every
+    return out
+
+
+def document_frequencies(here: DataFrame, words: list[str]) -> tuple[dict[str, int], int]:
+    """Of rows with ``here``, the words of the list that a text has: how many texts have each, and the number of texts."""
     counts = here.select(F.explode(F.concat("here", F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
     found = {r["word"]: r["count"] for r in counts}
     n = found.pop("", 0)
@@ -79,27 +88,33 @@ def scan(docs: DataFrame) -> DataFrame:
     labelled templates, 0 without.  Null and empty texts have no words and no labels; null ids and
     repeated rows stay; other columns are ignored.
     """
-    docs = docs.select(F.col("id").cast("long").alias("id"), F.col("text"))
     vocabulary = sorted({w for text, _ in TEMPLATES.values() for w in text.split()})
-    df, n = document_frequencies(docs, vocabulary)
-    index = positional_index(df, n)
-    idf = {w: x for _, w, _, x in index}
-    base, must = phrase_pattern(PHRASES), phrase_pattern([p for _, need in TEMPLATES.values() for p in need])
-    text = F.col("_text")
+    needed = [p for _, need in TEMPLATES.values() for p in need]
+    base, must = phrase_pattern(PHRASES), phrase_pattern(needed)
+    text, words = F.col("_text"), F.col("_words")
     count = lambda x: F.regexp_count(x, F.lit(WORD))
-    at_base, at_must = F.regexp_like(text, F.lit(base)), F.regexp_like(text, F.lit(must))
-    matches = F.when(at_base, F.regexp_extract_all(text, F.lit(base), F.lit(0)))
-    gaps = F.when(at_base, F.split(text, base, -1))
+    at_base = may_hold(text, PHRASES) & F.regexp_like(text, F.lit(base))
+    at_must = may_hold(text, needed) & F.regexp_like(text, F.lit(must))
+    matches = F.when(F.col("_at_base"), F.regexp_extract_all(text, F.lit(base), F.lit(0)))
+    gaps = F.when(F.col("_at_base"), F.split(text, base, -1))
     # only files with some mandatory phrase can get a template's label
-    words = F.when(at_must, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(sorted(idf)), F.struct(w.alias("word"), i.alias("pos")))), lambda x: x.isNotNull())
+    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("word"), i.alias("pos")))), lambda x: x.isNotNull())
     verified = F.array_compact(F.array(*[F.when(_all_there(text, need), F.lit(name)) for name, (_, need) in TEMPLATES.items()]))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "id", lowered(F.col("text")).alias("_text")).select(
-        "row", "id", count(text).cast("long").alias("n_words"), matches.alias("m"),
-        F.when(at_base, count(F.element_at(gaps, 1))).alias("first"), F.when(at_base, count(F.element_at(gaps, -1)) + count(F.element_at(matches, -1))).alias("behind"),
-        hits.alias("hits"), F.when(at_must, verified).alias("verified"),
+    rows = (
+        docs.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), lowered(F.col("text")).alias("_text"))
+        .select("*", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"), at_base.alias("_at_base"), at_must.alias("_at_must"))
+        .select("*", matches.alias("m"), gaps.alias("_gaps"))
+        .select(
+            "row", "id", F.size(words).cast("long").alias("n_words"), F.array_intersect(words, F.array(*[F.lit(w) for w in vocabulary])).alias("here"), "m",
+            F.when(F.col("_at_base"), count(F.element_at("_gaps", 1))).alias("first"),
+            F.when(F.col("_at_base"), count(F.element_at("_gaps", -1)) + count(F.element_at("m", -1))).alias("behind"),
+            F.when(F.col("_at_must"), hits).alias("hits"), F.when(F.col("_at_must"), verified).alias("verified"),
+        )
     )
+    # the texts are read once; frequencies, index and votes come from what is stored
     rows = stored(rows, "license-words")
+    index = positional_index(*document_frequencies(rows, vocabulary))
+    idf = {w: x for _, w, _, x in index}
     labels = F.create_map(*[F.lit(x) for p, label in PHRASES.items() for x in (p.split()[0], label)])
     base_labels = F.array_sort(F.array_distinct(F.transform(F.col("m"), lambda m: F.element_at(labels, F.regexp_extract(m, WORD, 0)))))
     none = F.array().cast("array<string>")
@@ -127,10 +142,11 @@ def _labelled(rows: DataFrame, index: list[tuple[str, str, int, float]], idf: di
     for name, _, _, x in index:
         whole[name] = whole.get(name, 0.0) + x
     rank = F.create_map(*[F.lit(x) for w in sorted(idf) for x in (w, float(idf[w]))])
-    words = F.array_distinct(F.transform("hits", lambda h: h["word"]))
+    words = F.array_distinct(F.transform("hits", lambda h: h["word"]))  # of the index
     # the file's rarest licence words
     rarest = F.slice(F.array_sort(F.transform(words, lambda w: F.struct((-F.element_at(rank, w)).alias("r"), w.alias("w")))), 1, RAREST)
-    looked = rows.filter(F.size("hits") > 0).select("row", "verified", F.explode(F.filter("hits", lambda h: F.exists(rarest, lambda r: r["w"] == h["word"]))).alias("h")).select("row", "verified", "h.*")
+    looked = rows.filter(F.size("hits") > 0).withColumn("hits", F.filter("hits", lambda h: h["word"].isin(sorted(idf))))
+    looked = looked.select("row", "verified", F.explode(F.filter("hits", lambda h: F.exists(rarest, lambda r: r["w"] == h["word"]))).alias("h")).select("row", "verified", "h.*")
     votes = looked.join(postings, "word").filter(F.array_contains("verified", F.col("template")))
     at = votes.groupBy("row", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.sum("idf").alias("sum"))
     share = F.col("sum") / F.element_at(F.create_map(*[F.lit(x) for k, v in whole.items() for x in (k, v)]), F.col("template"))
