@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from skyfact.operators.facts import StarSchema
 from skyfact.operators.mart import dashboard_mart
@@ -36,10 +35,12 @@ class Warehouse:
     @staticmethod
     def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
         """Names, sizes and times of the input files: other files make another warehouse."""
-        paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-        listed = files.select("path", "length", "modificationTime").agg(F.xxhash64(F.sort_array(F.collect_list(F.struct("path", "length", F.unix_micros("modificationTime")))))).first()
-        return (listed[0],)
+        context, found = spark.sparkContext, []
+        for name in SOURCE_TABLES:
+            path = context._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+            files = path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path)
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+        return tuple(found)
 
     @classmethod
     def close(cls, spark: SparkSession) -> None:

@@ -214,3 +214,17 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
         session.scratch_dir(SimpleNamespace(conf=conf, sparkContext=context))
     context.master = "local[2]"
     assert session.scratch_dir(SimpleNamespace(conf=conf, sparkContext=context)) == "/wh/scratch/skyfact-app-1"
+
+
+def test_other_files_make_another_warehouse(spark, tmp_path):
+    """Stored tables are kept for the files they were made from, not for their path."""
+    import shutil
+
+    from skyfact.plans.warehouse import SOURCE_TABLES, Warehouse
+
+    for name in SOURCE_TABLES:
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = Warehouse.of(spark, str(tmp_path))
+    assert Warehouse.of(spark, str(tmp_path)) is first
+    os.utime(tmp_path / "supplier.parquet", (1, 1))
+    assert Warehouse.of(spark, str(tmp_path)) is not first
