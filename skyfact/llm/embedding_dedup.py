@@ -177,7 +177,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, blocks: int =
     links = found.groupBy(F.col("node").alias("_node")).agg(F.sum("links").alias("links"))
     named = distinct.join(links, F.col("node") == F.col("_node"), "left").drop("_node")
     named = named.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # both sides of the join are tables, so that Spark can split the rows of a large component
+    named = stored(named, "vector-roots")
+    least = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "vector-names")
     named = named.join(least, "root").select(F.col("vector").alias("_vector"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     out = rows.withColumn("_key", F.when(useful, F.col("vector"))).join(named, F.col("_key") == F.col("_vector"), "left")
     component = F.coalesce("component_id", "id")
