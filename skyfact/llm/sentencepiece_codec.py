@@ -14,6 +14,7 @@ sums of the ranks, which are no probabilities, would not.
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -22,12 +23,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfact.llm.words import by_bytes
+from skyfact.llm.shared import in_batches
+from skyfact.llm.words import by_bytes, give_back
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Distinct words that a worker keeps encoded between batches.
-CACHE_WORDS = 600_000
+#: Distinct words that a task keeps encoded, and pairs of pieces that a worker remembers.
+CACHE_WORDS, CACHE_PAIRS = 150_000, 200_000
 
 
 class Codec:
@@ -52,7 +54,7 @@ class Codec:
         self.size = n
         self.pieces = [sp.id_to_piece(i) for i in range(n)]
         self.apart: dict[int, bool] = {}
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces by merging the best ranked neighbours first, leftmost of equals."""
@@ -70,9 +72,9 @@ class Codec:
         fits = self.apart[before << 32 | piece] = self.merged("".join(strings)) == strings
         return fits
 
-    def encode_words(self, words) -> dict[str, list[int]]:
-        """Ids of distinct marked words, by one depth-first pass over their trie."""
-        out: dict[str, list[int]] = {}
+    def encode_words(self, words) -> dict[str, bytes]:
+        """Ids of distinct marked words, four bytes each, by one depth-first pass over their trie."""
+        out: dict[str, bytes] = {}
         endings, apart, size = self.endings, self.apart, self.size
         # for each prefix of the word: its last piece, and where that begins
         last, begin = [-1], [0]
@@ -108,7 +110,7 @@ class Codec:
                     ids += self.character_ids(chr(piece - size))[::-1]
                 at = begin[at]
             ids.reverse()
-            out[word] = ids
+            out[word] = array("i", ids).tobytes()
             before = word
         return out
 
@@ -116,28 +118,27 @@ class Codec:
         """Byte pieces of a character that has no piece, or the unknown id."""
         return [self.byte[b] for b in char.encode()] if self.byte else [self.unknown]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [marked_words(t) for t in texts]
         new = {w for words in cut for w in words if w not in self.cache}
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache = {}
             new = {w for words in cut for w in words}
-        if len(self.apart) > 4 * CACHE_WORDS:
+        if len(self.apart) > CACHE_PAIRS:
             self.apart = {}
         self.cache.update(self.encode_words(new))
         cache = self.cache
-        out = []
-        for words in cut:
-            ids: list[int] = []
-            for w in words:
-                ids += cache[w]
-            out.append(ids)
-        return out
+        return [np.frombuffer(b"".join([cache[w] for w in words]), np.int32) for words in cut]
 
     def decode(self, ids) -> bytes:
         """UTF-8 of the pieces, without the mark that encoding puts in front; unknown ids raise."""
         table = self.bytes
-        return b"".join([table[i] for i in ids])[1:]
+        return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)])[1:]
+
+    def forget(self) -> None:
+        """Drop the words of a task that has ended; its worker goes on to other work."""
+        self.cache = {}
+        give_back()
 
 
 def marked_words(text: str) -> list[str]:
@@ -161,10 +162,9 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _ids_array(rows: list[list[int]]) -> pa.Array:
+def _ids_array(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-    flat = np.fromiter((i for r in rows for i in r), np.int32, offsets[-1])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
 
 
 def _text(docs: DataFrame) -> DataFrame:
@@ -179,8 +179,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         for batch in batches:
             for part in by_bytes(batch):
                 yield pa.RecordBatch.from_arrays([part["id"], _ids_array(c.encode([t or "" for t in part["text"].to_pylist()]))], ["id", "ids"])
+        c.forget()
 
-    return _text(docs).mapInArrow(run, "id long, ids array<int>")
+    return in_batches(_text(docs)).mapInArrow(run, "id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
@@ -205,5 +206,6 @@ def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 rows = c.encode([t or "" for t in part["text"].to_pylist()])
                 texts = [c.decode(r).decode(errors="replace") for r in rows]
                 yield pa.RecordBatch.from_arrays([part["id"], _ids_array(rows), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
+        c.forget()
 
-    return _text(docs).mapInArrow(run, "id long, ids array<int>, decoded string")
+    return in_batches(_text(docs)).mapInArrow(run, "id long, ids array<int>, decoded string")

@@ -23,6 +23,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch of whole texts; Spark's default of 10,000 takes ten times the memory.
+BATCH_ROWS = 1000
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of the session, where it has not bounded them itself, and hand ``df`` on."""
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_CONF, "10000") == "10000":
+        conf.set(_ROWS_CONF, str(BATCH_ROWS))
+    return df
+
+
 def text_size(df: DataFrame, column: str = "text") -> int:
     """Bytes of all texts."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0

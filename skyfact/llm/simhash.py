@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyfact.llm.components import components
-from skyfact.llm.shared import stored
-from skyfact.llm.words import by_bytes
+from skyfact.llm.shared import in_batches, stored
+from skyfact.llm.words import by_bytes, give_back
 
 SHINGLE = 3
 SEED = 42
@@ -61,8 +61,9 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in (part for b in batches for part in by_bytes(b)):
             out = [fingerprint((t or b"").translate(_LOWER).split(), shingle) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.array(out, np.uint64).view(np.int64))], ["id", "fingerprint"])
+        give_back()
 
-    return docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "id long, fingerprint long")
+    return in_batches(docs).select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "id long, fingerprint long")
 
 
 def _segment(bits, k: int):
@@ -120,7 +121,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     prints = stored(fingerprints(docs, shingle), "simhash")
     distinct = stored(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("id").alias("least")), "simhash-distinct")
     found = components(links(distinct.select("fp")), "simhash-components")
-    named = distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = stored(distinct.join(found, distinct.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"), "simhash-roots")
+    # both sides of the join are tables, so that Spark can split the rows of a large component
+    names = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
     by_print = named.join(names, "root").select("fp", "component_id")
     return prints.join(by_print, prints.fingerprint == by_print.fp).select("id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfact.llm.shared import slices, text_size
+from skyfact.llm.shared import in_batches, slices, text_size
 from skyfact.llm.words import by_bytes, hash_words, member, plain_words, sequence_hashes, sliding_min, spans, text_bytes
 
 WINDOW = 20
@@ -150,6 +150,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, slice_bytes: int = SLI
     Other columns are ignored.
     """
     docs = docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    docs = in_batches(docs)
     n = slices(text_size(docs), slice_bytes)
     heavy = heavy_prefixes(docs, window)
     # rows without an id are told apart by their text

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyfact.llm.shared import stored
-from skyfact.llm.words import by_bytes, hash_words, member, spans, text_bytes
+from skyfact.llm.shared import in_batches, stored
+from skyfact.llm.words import by_bytes, give_back, hash_words, member, spans, text_bytes
 
 #: Bounds of the sample that is fitted on: toxic documents, and unlabelled ones.
 POSITIVES, UNLABELLED = 4000, 12000
@@ -137,6 +137,7 @@ def chosen_features(docs: DataFrame, n_pos: int, n_unl: int, most: int = FEATURE
             positive = np.asarray(batch["positive"], np.int64)[doc]
             values, at = np.unique(feat, return_inverse=True)
             yield pa.RecordBatch.from_arrays([_signed(values), pa.array(np.bincount(at, positive).astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))], ["feature", "p", "n"])
+        give_back()
 
     counts = docs.mapInArrow(count, "feature long, p long, n long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).filter("p >= 3")
     p = (F.col("p") + 0.5) / (n_pos + 1)
@@ -161,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     toxic = drawn(known.filter("toxic = 1").select("id"), positives, True)
     others = drawn(docs.select("id").filter("id IS NOT NULL"), unlabelled, False)
     # at most positives + unlabelled ids
-    sample = stored(docs.join(F.broadcast(toxic.unionAll(others)), "id").select("id", "text", "positive"), "toxicity-sample")
+    sample = stored(in_batches(docs).join(F.broadcast(toxic.unionAll(others)), "id").select("id", "text", "positive"), "toxicity-sample")
     sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
     features = chosen_features(sample.select("text", "positive"), sizes.get(True, 0), sizes.get(False, 0))
     bases = np.unique(features & ~np.uint64(3))
@@ -186,8 +187,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in (part for b in batches for part in by_bytes(b)):
             s = model.score(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["id", "score", "predicted"])
+        give_back()
 
-    return docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "id long, score double, predicted int")
+    return docs.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text")).transform(in_batches).mapInArrow(run, "id long, score double, predicted int")
 
 
 def filtered(docs: DataFrame, model: Model) -> DataFrame:
@@ -196,5 +198,6 @@ def filtered(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         for batch in (part for b in batches for part in by_bytes(b)):
             yield batch.filter(pa.array(model.score(batch["text"]) < 0.5))
+        give_back()
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs).mapInArrow(run, docs.schema)

@@ -7,6 +7,9 @@ and are mixed afterwards.  Working memory is bounded by ``CHUNK`` plus the longe
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 from functools import lru_cache
 
@@ -126,8 +129,16 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker lives on between tasks of different kinds."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Bytes of text that are worked on at a time.
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 
 def by_bytes(batch: pa.RecordBatch, column: str = "text", limit: int = AT_ONCE):
