@@ -60,7 +60,9 @@ def _raw_files(spark: SparkSession, d: str) -> str:
         }
     )
     path = _folder(spark, "csv")
-    raw.repartition(2).write.option("header", True).csv(path)
+    # as many files as the scan has partitions, but several in any case
+    several = raw if raw.rdd.getNumPartitions() > 1 else raw.repartition(2)
+    several.write.option("header", True).csv(path)
     return path
 
 
