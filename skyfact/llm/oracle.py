@@ -5,7 +5,7 @@ They compute the plain definition, not the operator's way; only the mix states i
 
 from __future__ import annotations
 
-from skyfact.llm import licenses, mixing, secrets, substring_dedup
+from skyfact.llm import centroids, licenses, merkle, mixing, secrets, substring_dedup
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -131,6 +131,62 @@ NEAR_VECTORS = """
     SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
     FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN n ON vec_id = n.u"""
 
+
+def _centroids(n: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS, dim: int = 64) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (SELECT v.no, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e,
+            min({{'d': CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}}) AS best FROM v, c{k} c GROUP BY v.no)""")
+        if k < rounds:
+            steps.append(f"""sums{k} AS (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT best.c AS c, unnest(e) AS x, unnest(range({dim})) AS i FROM near{k}) GROUP BY c, i),
+            c{k + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{k} c LEFT JOIN
+                (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM sums{k} GROUP BY c) m ON m.c = c.c)""")
+    return f"""
+    WITH v AS MATERIALIZED (SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+               WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, e) - 1 AS c, e FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, e FROM v ORDER BY h, e LIMIT {n})),
+    {", ".join(steps)}
+    SELECT a.vec_id, CAST(a.best.c AS INTEGER) AS cluster, a.best.d AS distance, CAST(sum(a.best.d) OVER (PARTITION BY a.best.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+    FROM near{rounds} a JOIN c{rounds} c ON c.c = a.best.c"""
+
+
+def _merkle(levels: int = 5, top_levels: int = 3, fan: int = merkle.FAN_OUT) -> str:
+    """A level for each power of the fan-out; a node that is alone in its group is carried on as it is."""
+    value = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    row = lambda text: "sha256(" + " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32, bit by bit
+    bits = "list_reduce(list_prepend(xor(c, x), range(8)), lambda b, i: xor(b >> 1, (b & 1) * 3988292384))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))), lambda c, x: {bits}), 4294967295)"
+    ctes = [
+        f"docs AS MATERIALIZED (SELECT *, {row('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {row(small)} END AS tampered FROM documents)",
+        "own AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, dense_rank() OVER (ORDER BY source NULLS FIRST) AS g, count(*) OVER (PARTITION BY source) AS n FROM docs)",
+        "a0 AS MATERIALIZED (SELECT g, place, n, leaf AS digest FROM own)",
+    ]
+    joins, proof, fold = [], [], "coalesce(o.tampered, o.leaf)"
+
+    def climb(name: str, count: int, group: str, place: str) -> None:
+        nonlocal fold
+        for k in range(count):
+            ctes.append(f"{name}r{k} AS MATERIALIZED (SELECT g, place // {fan} AS place, (any_value(n) + {fan - 1}) // {fan} AS n, any_value(n) = 1 AS alone, list(digest ORDER BY place) AS d FROM {name}{k} GROUP BY g, place // {fan})")
+            ctes.append(f"{name}{k + 1} AS MATERIALIZED (SELECT g, place, n, CASE WHEN alone THEN d[1] ELSE sha256(array_to_string(d, '')) END AS digest FROM {name}r{k})")
+            r, at = f"{name}r{k}", f"({place} // {fan**k})"
+            joins.append(f"JOIN {r} ON {r}.g = {group} AND {r}.place = {at} // {fan}")
+            left, right = f"array_to_string({r}.d[:{at} % {fan}], '')", f"array_to_string({r}.d[{at} % {fan} + 2:], '')"
+            proof.append(f"CASE WHEN {r}.alone THEN '' ELSE {left} || {right} END")
+            joins.append(f"JOIN LATERAL (SELECT CASE WHEN {r}.alone THEN {fold} ELSE sha256({left} || {fold} || {right}) END AS f) AS {name}f{k} ON true")
+            fold = f"{name}f{k}.f"
+
+    climb("a", levels, "o.g", "o.place")
+    ctes.append(f"b0 AS MATERIALIZED (SELECT 0 AS g, g - 1 AS place, (SELECT count(*) FROM a{levels}) AS n, digest FROM a{levels})")
+    climb("b", top_levels, "0", "(o.g - 1)")
+    return f"""
+    WITH {", ".join(ctes)}
+    SELECT o.doc_id, o.leaf, s.digest AS subroot, t.digest AS root, sha256({" || ".join(proof)}) AS proof_sha256, {fold} AS folded_root, {fold} = t.digest AS verified
+    FROM own o JOIN a{levels} s ON s.g = o.g JOIN b{top_levels} t ON true {" ".join(joins)}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": _dedup(),
     "op2_source_mixing": _mixture(),
@@ -139,4 +195,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_license_scan": _licenses(),
     "op8_warc": WARC,
     "op10_embedding_dedup": NEAR_VECTORS,
+    "op12_centroids": _centroids(),
+    "op13_merkle_manifest": _merkle(),
 }

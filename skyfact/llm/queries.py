@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfact.llm import embedding_dedup, exact_topk, licenses, mixing, secrets, sentencepiece_codec, simhash, substring_dedup, toxicity, warc
+from skyfact.llm import byte_bpe, centroids, embedding_dedup, exact_topk, licenses, merkle, mixing, secrets, sentencepiece_codec, simhash, substring_dedup, toxicity, warc
 from skyfact.llm.shared import table
 
 
@@ -89,6 +89,38 @@ def near_embeddings(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dedup.near_vectors(rows).withColumnRenamed("id", "vec_id")
 
 
+def byte_pieces(spark: SparkSession, d: str) -> DataFrame:
+    out = byte_bpe.round_trip(_texts(table(spark, d, "documents")))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), digest(ids).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+def centroid_clusters(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return centroids.clusters(rows).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _small_letters(text):
+    """A-Z become a-z.  ``lower`` is the faster way, where all characters are of ASCII."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, CAPITALS, CAPITALS.lower()))
+
+
+def manifest(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    columns = lambda text: [F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text]
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    tampered = F.when(touched, merkle.leaf(columns(_small_letters(F.col("text")))))
+    leaves = docs.select(F.col("doc_id").alias("id"), "source", merkle.leaf(columns(F.col("text"))).alias("leaf"), tampered.alias("tampered"))
+    out = merkle.manifest(leaves).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    proof = F.sha2(merkle.proof_text(F.col("path")).cast("binary"), 256)
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_substring_dedup": substring_dedup_docs,
     "op2_source_mixing": mixture,
@@ -100,4 +132,7 @@ QUERIES = {
     "op8_warc": archive,
     "op9_toxicity": toxic,
     "op10_embedding_dedup": near_embeddings,
+    "op11_byte_bpe": byte_pieces,
+    "op12_centroids": centroid_clusters,
+    "op13_merkle_manifest": manifest,
 }
