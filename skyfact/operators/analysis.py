@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfact.functions import col, finite
@@ -179,3 +179,42 @@ def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
         corner[c] = (low + F.col(f"{c}_bin") * width).alias(c)
     counts = rows.select(place["x"], place["y"]).groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
     return counts.select("x_bin", "y_bin", corner["x"], corner["y"], "count")
+
+
+def _bin(c: str, ends: Column, bins: int) -> tuple[Column, Column]:
+    """The bin of a value between the column's ends, and a function of the bin's lower end."""
+    low, high = ends.getField(f"lo_{c}"), ends.getField(f"hi_{c}")
+    width = (high - low) / F.lit(bins)
+    step = F.coalesce(F.floor(F.try_divide(F.col(c) - low, width)), F.lit(0))
+    return F.least(step, F.lit(bins - 1)).cast("int"), lambda n: low + n * width
+
+
+def scatter_matrix_bins(df: DataFrame, cols: list[str] | None = None, bins: int = 20) -> DataFrame:
+    """(x, y, x_bin, y_bin, x_low, y_low, count) for all pairs of columns over the complete rows.
+
+    Two scans whatever the number of pairs: one for all bounds, one for all counts.  Rows are counted by their bins in
+    all columns first, so that what is spread over the pairs, and shuffled once more, are those counts; at most
+    pairs * bins * bins rows come out.  The last bin of a column holds its upper end; a constant column
+    has one bin.
+    """
+    keep = [c for c in (cols or SCATTER_COLUMNS) if c in df.columns]
+    if len(keep) < 2:
+        raise MissingColumns(f"a scatter matrix needs two columns, found {keep}")
+    number = {c: f"v{i}" for i, c in enumerate(keep)}
+    rows = complete_cases(df.select(*[finite(col(c).cast("double")).alias(v) for c, v in number.items()]), list(number.values()))
+    ends = rows.agg(F.struct(*[f(v).alias(f"{n}_{v}") for v in number.values() for n, f in (("lo", F.min), ("hi", F.max))]).alias("e")).scalar()
+    bin_of = {v: _bin(v, ends, bins) for v in number.values()}
+    counts = rows.select(*[b.alias(v) for v, (b, _) in bin_of.items()]).groupBy(*bin_of).agg(F.count(F.lit(1)).alias("n"))
+    pair = lambda x, y: F.struct(
+        F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(number[x]).alias("x_bin"), F.col(number[y]).alias("y_bin"),
+    )
+    spread = counts.select("n", F.inline(F.array(*[pair(x, y) for x, y in combinations(keep, 2)])))
+    sums = spread.groupBy("x", "y", "x_bin", "y_bin").agg(F.sum("n").alias("count"))
+
+    def low(name: str) -> Column:
+        out = F.lit(None).cast("double")
+        for c, v in number.items():
+            out = F.when(F.col(name) == c, bin_of[v][1](F.col(f"{name}_bin"))).otherwise(out)
+        return out.alias(f"{name}_low")
+
+    return sums.select("x", "y", "x_bin", "y_bin", low("x"), low("y"), "count")

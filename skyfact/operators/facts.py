@@ -93,14 +93,12 @@ def keyed_observations(
 
 
 def keyed_to_fact(keyed: DataFrame, wavelength: DataFrame) -> DataFrame:
-    """Unpivot keyed observations and add ``id_wavelength``; no shuffle."""
+    """Unpivot keyed observations with ``id_wavelength`` as a constant of each band; no join, no shuffle."""
     weather = [c for c in ("id_weather", "is_enriched") if c in keyed.columns]
-    long = long_observations(keyed)
-    # Bounded by the columns of the source.
-    bands = F.broadcast(wavelength.select("id_wavelength", "Wavelength_nm"))
-    return long.join(bands, "Wavelength_nm", "left").select(
-        *FACT_KEYS, *weather[:1], *FACT_MEASURES, *weather[1:]
-    )
+    # One row per column of the source.
+    numbers = {r.Wavelength_nm: r.id_wavelength for r in wavelength.select("id_wavelength", "Wavelength_nm").collect()}
+    long = long_observations(keyed, numbers=numbers)
+    return long.select(*FACT_KEYS, *weather[:1], *FACT_MEASURES, *weather[1:])
 
 
 def build_fact(

@@ -37,11 +37,25 @@ def drop_null_measures(long: DataFrame, cols: tuple[str, ...] = ("AOD_Value", "W
     return long
 
 
-def long_observations(wide: DataFrame, ids: list[str] | None = None) -> DataFrame:
+def _cell(name: str, numbers: dict[float, int] | None) -> Column:
+    """A band's value with all that follows from the band's name; the optimizer folds the latter into constants."""
+    nm = wavelength_nm(F.lit(name))
+    fields = {
+        "AOD_band": F.lit(name), "AOD_Value": clip_lower(col(name).cast("double")), "Wavelength_nm": nm,
+        "Spectral_Band": spectral_band(nm), "Sensitive_Aerosol": sensitive_aerosol(nm),
+    }
+    if numbers is not None:
+        found = numbers.get(float(name.removeprefix("AOD_").removesuffix("nm")))
+        fields = {"id_wavelength": F.lit(found).cast("int"), "AOD_Value": fields["AOD_Value"]}
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+
+def long_observations(wide: DataFrame, ids: list[str] | None = None, numbers: dict[float, int] | None = None) -> DataFrame:
     """Unpivot, classify and clip: the measured values that become facts.
 
-    The particle class is computed before the unpivot, once per wide row; Catalyst drops the
-    empty cells right behind the expand, in the same stage.
+    The particle class is computed once per wide row, and wavelength, spectral band and sensitivity are
+    constants of their column; a row of the result costs no more than its value.  With ``numbers``
+    (wavelength to key) the rows have ``id_wavelength`` instead of what describes the band.
     """
     aod = aod_columns(wide.columns)
     if not aod:
@@ -49,13 +63,8 @@ def long_observations(wide: DataFrame, ids: list[str] | None = None) -> DataFram
     if "Particle_type" not in wide.columns:
         wide = classify_particles(wide)
     keep = [c for c in wide.columns if c not in aod] if ids is None else ids
-    long = wide_to_long(wide, keep, aod)
-    nm = F.col("Wavelength_nm")
-    long = long.withColumns(
-        {"Wavelength_nm": wavelength_nm(F.col("AOD_band")), "AOD_Value": clip_lower(F.col("AOD_Value"))}
-    )
-    long = long.withColumns({"Spectral_Band": spectral_band(nm), "Sensitive_Aerosol": sensitive_aerosol(nm)})
-    return drop_null_measures(long)
+    long = wide.select(*[col(c) for c in keep], F.inline(F.array(*[_cell(c, numbers) for c in aod])))
+    return drop_null_measures(long, ("AOD_Value",))
 
 
 def metrics_long(df: DataFrame, ids: list[str], metrics: list[str]) -> DataFrame:

@@ -25,7 +25,7 @@ from skyfact.operators.filters import Filters, apply_filters, bounds, member_opt
 from skyfact.operators.histogram import histogram
 from skyfact.operators.quality import dq_checks, dq_flat, dq_report, source_doy_mismatch
 from skyfact.operators.reshape import classify_particles, long_observations, metrics_long, with_labels
-from skyfact.operators.sampling import sample_geo
+from skyfact.operators.sampling import sample_front, sample_geo, sample_rows
 from skyfact.operators.spatial import locate_country, multiple_matches
 from skyfact.operators.weather import weather_missing, weather_requests
 from skyfact.plans.defects import planted
@@ -206,6 +206,11 @@ def country_join(spark: SparkSession, d: str) -> DataFrame:
     return locate_country(places, views.country_polygons(spark, d))
 
 
+def country_join_detailed(spark: SparkSession, d: str) -> DataFrame:
+    places = site_keys(_obs(spark, d).select(SITE, LAT, LON)).select("Latitude", "Longitude").distinct()
+    return locate_country(places, views.detailed_polygons(spark, d))
+
+
 def fact_star(spark: SparkSession, d: str) -> DataFrame:
     return plain(_star(spark, d).fact.select(FACT_COLUMNS))
 
@@ -359,6 +364,22 @@ def sample_strata(spark: SparkSession, d: str) -> DataFrame:
     return plain(sample_geo(_star(spark, d), n=5, strata="id_wavelength").withColumnRenamed(SITE, "site"))
 
 
+def sample_half(spark: SparkSession, d: str) -> DataFrame:
+    """Half of all facts: the sample is cut off by a bound, and no task orders it."""
+    fact = _star(spark, d).fact
+    return sample_rows(fact, fact.count() // 2).select("Fact_ID", "id_wavelength", "AOD_Value")
+
+
+def sample_from_front(spark: SparkSession, d: str) -> DataFrame:
+    """A fifth of all facts, band by band: some bands whole, and one in part."""
+    fact = _star(spark, d).fact
+    return sample_front(fact, fact.count() // 5).select("Fact_ID", "id_wavelength", "AOD_Value")
+
+
+def scatter_matrix_bins(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(A.scatter_matrix_bins(_page_enriched(spark, d), bins=20), ["x_low", "y_low"])
+
+
 def scatter_bins(spark: SparkSession, d: str) -> DataFrame:
     return rounded(A.scatter_bins(_page_enriched(spark, d), "temperature_mean", "AOD_Value", 20), ["x", "y"])
 
@@ -391,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "weather_conflicts": weather_conflict_keys,
     "country_overlaps": country_overlaps,
     "country_join": country_join,
+    "country_join_detailed": country_join_detailed,
     "fact_star": fact_star,
     "fact_by_site_name": fact_by_site_name,
     "fact_unenriched": fact_unenriched,
@@ -425,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "constraint_violations": constraints,
     "sample_geo": sample,
     "sample_strata": sample_strata,
+    "sample_half": sample_half,
+    "sample_front": sample_from_front,
     "scatter_bins": scatter_bins,
+    "scatter_matrix_bins": scatter_matrix_bins,
     **ROUND_TRIPS,
 }

@@ -11,7 +11,7 @@ from skyfact.operators.analysis import SCATTER_COLUMNS as SCATTER
 from skyfact.plans.roundtrips import BAD_CELL, BAD_DATE, EMPTY_CELL, NAN_CELL
 from skyfact.schemas import WEATHER_MEASURES as MEASURES
 from skyfact.sources.views import AOD_COLUMNS as AOD
-from skyfact.sources.views import BANDS
+from skyfact.sources.views import BANDS, TEETH
 
 
 
@@ -75,6 +75,15 @@ CTES = {
         UNION ALL SELECT k, n_name, r_name, x, y, x + 12, y + 15 FROM outline WHERE k % 5 = 3
         UNION ALL SELECT k, n_name, r_name, x + 18, y, x + 30, y + 15 FROM outline WHERE k % 5 = 3""",
     "points": "SELECT DISTINCT lat, lon FROM obs",
+    "corners": f"""SELECT k, n_name, r_name, x, y, i AS no, x + i / 32.0 AS px, y + (i % 2) / 4.0 AS py FROM outline, range({TEETH + 1}) AS t(i)
+        UNION ALL SELECT k, n_name, r_name, x, y, {2 * TEETH + 1} - i, x + 8 + i / 32.0, y + 15 + (i % 2) / 4.0 FROM outline, range({TEETH + 1}) AS t(i)""",
+    "sides": """SELECT *, coalesce(lead(px) OVER w, first_value(px) OVER w) AS qx, coalesce(lead(py) OVER w, first_value(py) OVER w) AS qy
+        FROM corners WINDOW w AS (PARTITION BY k ORDER BY no)""",
+    "detailed": """SELECT lat, lon, n_name, r_name, CASE WHEN edge THEN 1 ELSE 0 END AS grade FROM (SELECT lat, lon, n_name, r_name,
+        count(*) FILTER (WHERE (py > lat) <> (qy > lat) AND lon < px + (qx - px) * (lat - py) / (qy - py)) % 2 = 1 AS odd,
+        bool_or((qx - px) * (lat - py) = (qy - py) * (lon - px) AND lon BETWEEN least(px, qx) AND greatest(px, qx)
+            AND lat BETWEEN least(py, qy) AND greatest(py, qy)) AS edge
+        FROM points JOIN sides ON lon BETWEEN x AND x + 38 AND lat BETWEEN y AND y + 15.25 GROUP BY ALL) AS t WHERE odd OR edge""",
     "hits": f"""SELECT lat, lon, n_name, r_name, CASE WHEN {_TRUE_BOX} AND NOT (k % 5 = 1 AND
         lon BETWEEN x0 + 10 AND x0 + 16 AND lat BETWEEN y0 + 4 AND y0 + 9) THEN 0 ELSE 1 END AS grade
         FROM points JOIN boxes ON lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1
@@ -371,6 +380,9 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY site, o.lat, o.lon HAVING count(DISTINCT n_name) > 1"""),
         "country_join": _q("""SELECT p.lat AS Latitude, p.lon AS Longitude, n_name AS Country, r_name AS Continent
             FROM points AS p LEFT JOIN located AS l ON p.lat = l.lat AND p.lon = l.lon"""),
+        "country_join_detailed": _q("""SELECT p.lat AS Latitude, p.lon AS Longitude, n_name AS Country, r_name AS Continent FROM points AS p
+            LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY grade, n_name) AS rn FROM detailed) AS l
+            ON p.lat = l.lat AND p.lon = l.lon AND rn = 1"""),
         "fact_star": _q(f"SELECT Fact_ID, {_csv(_FACT)} FROM fact"),
         "fact_by_site_name": _q(f"""SELECT row_number() OVER (ORDER BY {_FACT_ORDER}) AS Fact_ID, {_csv(_FACT)} FROM
             (SELECT id_date, id_wavelength, id_site, particle AS Particle_type, v AS AOD_Value, water AS Precipitable_Water,
@@ -431,11 +443,29 @@ def oracle_sql() -> dict[str, str]:
         "sample_geo": _sample(f"SELECT * FROM fact ORDER BY {_LOT} LIMIT 50"),
         "sample_strata": _sample(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_wavelength ORDER BY {_LOT})
             AS rn FROM fact) AS t WHERE rn <= 5"""),
+        "sample_half": _q(f"""SELECT Fact_ID, id_wavelength, AOD_Value FROM (SELECT *, row_number() OVER (ORDER BY {_LOT}) AS rn,
+            count(*) OVER () AS n FROM fact) AS t WHERE rn <= n // 2"""),
+        "sample_front": _q(f"""SELECT Fact_ID, id_wavelength, AOD_Value FROM (SELECT *, row_number() OVER (ORDER BY id_wavelength, {_LOT}) AS rn,
+            count(*) OVER () AS n FROM fact) AS t WHERE rn <= n // 5"""),
+        "scatter_matrix_bins": _pair_bins(20),
         **_round_trips(),
     }
     return sql
 
 
+def _pair_bins(bins: int) -> str:
+    full = " AND ".join(f"{c} IS NOT NULL" for c in SCATTER)
+    ends = _csv(f"min({c}) AS lo{i}, (max({c}) - min({c})) / {bins} AS w{i}" for i, c in enumerate(SCATTER))
+    place = lambda i: f"CAST(least(floor(({SCATTER[i]} - lo{i}) / w{i}), {bins - 1}) AS INTEGER)"
+    rows = [
+        f"""SELECT '{SCATTER[i]}' AS x, '{SCATTER[j]}' AS y, {place(i)} AS x_bin, {place(j)} AS y_bin, round(any_value(lo{i}) + {place(i)} * any_value(w{i}), 6) AS x_low,
+        round(any_value(lo{j}) + {place(j)} * any_value(w{j}), 6) AS y_low, count(*) AS count FROM chosen, ends GROUP BY {place(i)}, {place(j)}"""
+        for i in range(len(SCATTER)) for j in range(i + 1, len(SCATTER))
+    ]
+    chosen = f"chosen AS (SELECT {_csv(SCATTER)} FROM rich WHERE {full}), ends AS (SELECT {ends} FROM chosen)"
+    return _q("").rstrip() + ",\n" + chosen + "\n" + _union(rows)
+
+
 def _round_trips() -> dict[str, str]:
     aod = _csv([f"CASE WHEN n500 IN ({BAD_CELL}, {NAN_CELL}, {EMPTY_CELL}) THEN NULL ELSE AOD_340nm END AS AOD_340nm", *AOD[1:]])
     sides = {"x0": "min(x0)", "x1": "max(x1)", "y0": "min(y0)", "y1": "max(y1)"}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfact.schemas import POLYGON_SCHEMA
+from skyfact.session import materialize
 
 # Property names of the country data set.
 PROPERTY_NAMES = {"ADMIN": "Country", "CONTINENT": "Continent"}
@@ -36,26 +37,45 @@ def named_polygons(df: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType) for f in POLYGON_SCHEMA])
 
 
-def _one_per_line(spark: SparkSession, path: str) -> bool:
-    """Whether the text has a whole feature in its first line; a collection, however laid out, has none."""
-    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).select(F.get_json_object("value", "$.type").alias("type"))
-    return [r["type"] for r in first.collect()] == ["Feature"]
+_COLLECTION = f"type string, features array<{_FEATURE}>, properties map<string,string>, geometry struct<type:string, coordinates:string>"
+
+
+def _layouts(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: whether each of its lines is a JSON value of its own, and how many features its text names."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"))
+    named = F.regexp_count("value", F.lit(r'"type"\s*:\s*"Feature"'))
+    return lines.groupBy("file").agg(F.bool_and(F.try_parse_json("value").isNotNull()).alias("by_line"), F.sum(named).alias("named"))
+
+
+def _features(text: DataFrame) -> DataFrame:
+    """(file, value) -> file and the features of each JSON text: of a collection, or itself."""
+    raw = text.select("file", F.from_json("value", _COLLECTION).alias("j")).select("file", "j.*")
+    one = F.struct("type", "properties", "geometry")
+    return raw.select("file", F.explode(F.coalesce("features", F.array(one))).alias("f")).select("file", "f.*")
 
 
 def read_country_polygons(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
-    """(Country, Continent, rings) from GeoJSON (collection or one feature per line) or Parquet, in degrees.
+    """(Country, Continent, rings) from GeoJSON or Parquet, in degrees.
 
-    ``lines`` says that each line is a feature; without it, the text decides.  A feature that lacks
-    a property has null there; a source in which no feature has it is refused.
+    Each GeoJSON file has a layout of its own: a value per line (features or collections), which may
+    be split, or one value over all lines, which is read whole.  ``lines`` says so for all files; without it,
+    each file's text decides.  A file that names more features than were read is refused, and so is a source in which
+    no feature has a property that is needed; a single feature that lacks one has null there.
     """
     if not path.rstrip("/").endswith(("json", "geojsonl")):
         return named_polygons(spark.read.parquet(path))
-    schema = f"type string, features array<{_FEATURE}>, properties map<string,string>, " \
-        "geometry struct<type:string, coordinates:string>"
-    by_line = _one_per_line(spark, path) if lines is None else lines
-    raw = spark.read.schema(schema).option("multiLine", not by_line).json(path)
-    one = F.struct("type", "properties", "geometry")
-    features = raw.select(F.explode(F.coalesce("features", F.array(one))).alias("f")).select("f.*")
+    layouts = materialize(_layouts(spark, path), "outline-files")
+    by_line = F.col("by_line") if lines is None else F.lit(lines)
+    split = layouts.filter(by_line).select("file")
+    text = lambda whole: spark.read.text(path, wholetext=whole).select(F.col("_metadata.file_path").alias("file"), "value").filter(F.trim("value") != "")
+    # one row per file on the small side
+    features = _features(text(False).join(split, "file", "left_semi").unionByName(text(True).join(split, "file", "left_anti")))
+    features = materialize(features.filter("type IS NOT NULL OR properties IS NOT NULL OR geometry IS NOT NULL"), "outline-features")
+    read = features.groupBy("file").agg(F.count(F.lit(1)).alias("read"))
+    lost = layouts.join(read, "file", "left").filter("named > coalesce(read, 0)").select("file", "named", F.coalesce("read", F.lit(0)).alias("read"))
+    faults = [f"{r['file']}: {r['named']} features in the text, {r['read']} read" for r in lost.limit(5).collect()]
+    if faults:
+        raise ValueError("; ".join(faults))
     known = [*PROPERTY_NAMES, *PROPERTY_NAMES.values()]
     has = features.agg(*[F.bool_or(F.map_contains_key("properties", c)).alias(c) for c in known]).first()
     names = [c for c in known if has[c]]

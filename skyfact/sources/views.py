@@ -89,6 +89,24 @@ def country_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TEETH = 960
+
+
+def detailed_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outline of about two thousand sides per nation: a slanted box whose level sides are toothed."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    x, y = -100 + 40 * (F.col("n_nationkey") % 5), -50 + 20 * F.floor(F.col("n_nationkey") / 5)
+
+    def row(first: int, last: int, step: int, dx: int, dy: int) -> Column:
+        corner = lambda i: F.struct((x + dx + i / 32).alias("lon"), (y + dy + (i % 2) / 4).alias("lat"))
+        return F.transform(F.sequence(F.lit(first), F.lit(last), F.lit(step)), corner)
+
+    ring = F.concat(row(0, TEETH, 1, 0, 0), row(TEETH, 0, -1, 8, 15))
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_name").alias("Country"), F.col("r_name").alias("Continent"), F.array(ring).alias("rings")
+    )
+
+
 def station_days(wide: DataFrame) -> DataFrame:
     """Distinct (Date, Latitude, Longitude) of the cleaned observations."""
     df = wide.select(

@@ -162,12 +162,12 @@ def polygons(spark):
     return spark.createDataFrame(data, POLYGON_SCHEMA)
 
 
-@pytest.mark.parametrize("broadcast_edges", [1000, 0])
-def test_points_in_polygons(spark, monkeypatch, broadcast_edges):
+@pytest.mark.parametrize("broadcast_rows", [1000, 0])
+def test_points_in_polygons(spark, monkeypatch, broadcast_rows):
     """Inside, hole, edge, corner, open ring, several parts, overlap: within beats touching, then the name."""
-    from skyfact.operators import spatial
+    from skyfact.operators import joins
 
-    monkeypatch.setattr(spatial, "BROADCAST_EDGES", broadcast_edges)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
     points = spark.createDataFrame([c[:3] for c in CASES], "id int, Longitude double, Latitude double")
     got = {r.id: r.Country for r in locate_country(points, polygons(spark)).collect()}
     assert got == {c[0]: c[3] for c in CASES}
@@ -193,6 +193,73 @@ def test_even_odd_against_brute_force(spark):
     assert got == {r.id: inside(r.Longitude, r.Latitude) for r in pts.itertuples()}
 
 
+def even_odd(ring, x, y):
+    """Whether points are inside, by all sides of the ring."""
+    odd = np.zeros(len(x), bool)
+    for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, axis=0)):
+        if y1 != y2:
+            odd ^= ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * ((y - y1) / (y2 - y1)) + x1)
+    return odd
+
+
+@pytest.mark.parametrize("most", [2, 24])
+def test_cells_of_any_size_give_the_same(spark, most):
+    """A star, a comb of long and short sides, and a fan of sides that all meet in one point; points on cell borders too."""
+    from skyfact.operators import spatial
+
+    rng = np.random.default_rng(11)
+    turn = np.linspace(0, 2 * np.pi, 60, endpoint=False)
+    star = np.stack([np.cos(turn), np.sin(turn)], 1) * rng.uniform(2, 30, (60, 1))
+    comb = np.array([(float(i // 2), 20.0 * (i % 2)) for i in range(40)] + [(20.0, -3.0), (0.0, -3.0)])
+    fan = np.array([p for i in range(30) for p in ((1.0, 1.0), (10.0, i / 4.0), (10.0, i / 4.0 + 0.1))])
+    gate = np.array([(-12.0, -30.0), (-2.0, -30.0), (-2.0, -20.0), (6.0, -20.0), (6.0, -30.0), (18.0, -30.0), (18.0, -15.0), (-12.0, -15.0)])
+    shapes = {"star": star, "comb": comb, "fan": fan, "gate": gate, "etag": gate[::-1]}
+    frame = spark.createDataFrame([(n, "K", [[(float(a), float(b)) for a, b in r]]) for n, r in shapes.items()], POLYGON_SCHEMA)
+    x, y = rng.uniform(-31, 31, 1500), rng.uniform(-31, 31, 1500)
+    border = spatial.SHIFT + spatial.ROOT_DEGREES / 2 ** rng.integers(0, 6, 300) * rng.integers(-8, 8, 300)
+    x[:300], y[200:500] = border, border
+    x[500:700], y[500:700] = rng.integers(-14, 20, 200) + 0.5, rng.choice([-30.0, -20.0, -15.0], 200)  # level with sides
+    points = spark.createDataFrame(pd.DataFrame({"id": range(1500), "Longitude": x, "Latitude": y}))
+    found = polygon_matches(points, frame, most=most, deepest=9).filter("within").select("id", "_country").collect()
+    for name, ring in shapes.items():
+        on = np.zeros(len(x), bool)
+        for (x1, y1), (x2, y2) in zip(ring, np.roll(ring, -1, axis=0)):
+            on |= (y1 == y2) & (y == y1) & (x >= min(x1, x2)) & (x <= max(x1, x2))
+        assert {r.id for r in found if r["_country"] == name} == set(np.flatnonzero(even_odd(ring, x, y) & ~on).tolist())
+
+
+def test_outline_of_very_many_sides(spark):
+    """200,000 sides: a point meets few of them, no row of the index holds many, and the answer is right."""
+    from skyfact.operators import spatial
+
+    n = 200_000
+    rng = np.random.default_rng(5)
+    turn = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    ring = np.stack([np.cos(turn), np.sin(turn)], 1) * (40 + 3 * np.sin(97 * turn) + 1e-3 * rng.standard_normal(n))[:, None]
+    corners = spark.createDataFrame(pd.DataFrame({"i": range(n), "lon": ring[:, 0], "lat": ring[:, 1]}))
+    rings = corners.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "lon", "lat"))), lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))).alias("ring"))
+    outline = rings.select(F.lit("Round").alias("Country"), F.lit("K").alias("Continent"), F.array("ring").alias("rings"))
+    index = spatial.polygon_cells(outline)
+    most, cells = index.agg(F.max(F.size("edges")), F.count("*")).first()
+    assert most <= spatial.MAX_SIDES and cells < n
+    x, y = rng.uniform(-45, 45, 4000), rng.uniform(-45, 45, 4000)
+    x[:2000] = ring[:: n // 2000, 0] + rng.normal(0, 0.01, 2000)
+    y[:2000] = ring[:: n // 2000, 1] + rng.normal(0, 0.01, 2000)
+    points = spark.createDataFrame(pd.DataFrame({"id": range(4000), "Longitude": x, "Latitude": y}))
+    got = {r.id for r in locate_country(points, outline).filter("Country IS NOT NULL").select("id").collect()}
+    assert got == set(np.flatnonzero(even_odd(ring, x, y)).tolist())
+
+
+def test_points_without_a_place(spark):
+    rows = [(1, None, 2.0), (2, 2.0, None), (3, float("nan"), 2.0), (4, float("inf"), 2.0), (5, 2.0, 2.0), (5, 2.0, 2.0)]
+    frame = spark.createDataFrame(rows, "id int, Longitude double, Latitude double")
+    got = sorted((r.id, r.Country) for r in locate_country(frame, polygons(spark)).collect())
+    assert got == [(1, None), (2, None), (3, None), (4, None), (5, "Square")]
+    assert polygon_matches(frame, polygons(spark)).filter("within").count() == 2
+    none = locate_country(frame, polygons(spark).limit(0)).collect()
+    assert len(none) == 5 and all(r.Country is None for r in none)
+
+
 def test_points_on_slanted_sides(spark):
     """Points computed on slanted sides are on them, whatever the rounding; others are not."""
     rng = np.random.default_rng(3)
@@ -210,11 +277,15 @@ def test_points_on_slanted_sides(spark):
 
 
 def test_few_candidates_for_a_point(spark):
-    """Thirty polygons in a row of one latitude: a point meets the one of its cell, not all of the band."""
-    boxes = [(f"c{i:02}", "K", [[(6.0 * i, 0.0), (6.0 * i + 5, 0.0), (6.0 * i + 5, 5.0), (6.0 * i, 5.0)]]) for i in range(30)]
-    points = spark.createDataFrame([(i, 6.0 * i + 2.5, 2.5) for i in range(30)], "id int, Longitude double, Latitude double")
+    """900 polygons in four root cells: a point meets those of its small cell, and one that lies under all of them."""
+    box = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + w), (x, y + w)]
+    at = [(0.5 * i, 0.5 * j) for i in range(30) for j in range(30)]
+    boxes = [(f"c{n}", "K", [box(x, y, 0.4)]) for n, (x, y) in enumerate(at)] + [("under", "K", [box(-20.0, -20.0, 60.0)])]
+    points = spark.createDataFrame([(n, x + 0.2, y + 0.2) for n, (x, y) in enumerate(at)], "id int, Longitude double, Latitude double")
     pairs = polygon_matches(points, spark.createDataFrame(boxes, POLYGON_SCHEMA)).collect()
-    assert len(pairs) == 30 and all(r.within for r in pairs)
+    met = pd.Series([r.id for r in pairs]).value_counts()
+    assert met.max() <= 25
+    assert {(r.id, r["_country"]) for r in pairs if r.within} == {(n, c) for n in range(900) for c in (f"c{n}", "under")}
 
 
 def test_quantiles_of_very_many_values(spark):
@@ -241,3 +312,23 @@ def test_quantiles_raise_where_the_sketch_misses(spark, monkeypatch):
     frame = spark.range(1000).select(F.lit("a").alias("column"), F.col("id").cast("double").alias("value"))
     with pytest.raises(Exception, match="encloses? it|enclose"):
         Q.quantiles(frame, [0.5]).collect()
+
+
+def test_scatter_matrix_bins(spark, mart):
+    rows = mart.filter("is_enriched = 1")
+    table = rows.select(A.SCATTER_COLUMNS).toPandas().astype(float).dropna()
+    got = A.scatter_matrix_bins(rows, bins=7).collect()
+    assert len({(r.x, r.y) for r in got}) == 10 and len(got) <= 10 * 49
+    for pair in {(r.x, r.y) for r in got}:
+        assert sum(r["count"] for r in got if (r.x, r.y) == pair) == len(table)
+        ref = np.histogram2d(table[pair[0]], table[pair[1]], 7)[0]
+        assert sum(r["count"] for r in got if (r.x, r.y) == pair and r.x_bin == 0) == pytest.approx(ref[0].sum(), abs=2)
+    flat = spark.createDataFrame([(1.0, 2.0, 0.0), (1.0, 3.0, 1.0), (None, 4.0, 1.0), (float("nan"), 4.0, 1.0)], "a double, b double, c double")
+    got = {(r.x, r.y, r.x_bin, r.y_bin): (r.x_low, r.y_low, r["count"]) for r in A.scatter_matrix_bins(flat, ["a", "b", "c"], 2).collect()}
+    assert got == {
+        ("a", "b", 0, 0): (1.0, 2.0, 1), ("a", "b", 0, 1): (1.0, 2.5, 1), ("a", "c", 0, 0): (1.0, 0.0, 1),
+        ("a", "c", 0, 1): (1.0, 0.5, 1), ("b", "c", 0, 0): (2.0, 0.0, 1), ("b", "c", 1, 1): (2.5, 0.5, 1),
+    }
+    assert A.scatter_matrix_bins(flat.limit(0), ["a", "b"]).count() == 0
+    with pytest.raises(A.MissingColumns):
+        A.scatter_matrix_bins(flat, ["a", "z"])

@@ -97,6 +97,33 @@ def test_constraints(star):
     assert got["fact_aod", "foreign key", "id_weather"] == got["dim_date", "unique", "Date"] == 0
 
 
+def test_samples_of_any_size(spark, star):
+    """A sample cut off by a bound is the one that ordering gives; no task orders more than it may."""
+    from skyfact.operators.sampling import draw, front_quotas, lowest_lots, sample_front
+
+    fact = star.fact.select("Fact_ID", "id_wavelength")
+    total = fact.count()
+    in_order = [r.Fact_ID for r in fact.orderBy(draw("Fact_ID", 42), "Fact_ID").collect()]
+    for n in (60, total // 2, total - 1):
+        assert sorted(r.Fact_ID for r in lowest_lots(fact, n, 42, "Fact_ID", one_task=50).collect()) == sorted(in_order[:n])
+    assert lowest_lots(fact, total + 5, 42, "Fact_ID", one_task=50).count() == total
+    plan = lowest_lots(fact, total // 2, 42, "Fact_ID", one_task=50)._jdf.queryExecution().executedPlan().toString()
+    assert f"limit={total // 2}" not in plan
+    same = spark.range(500).select(F.lit(7).alias("Fact_ID"), "id")
+    assert lowest_lots(same, 300, 42, "Fact_ID", one_task=10).count() == 300
+    # by parts from the front
+    sizes = {r.id_wavelength: r["count"] for r in fact.groupBy("id_wavelength").count().collect()}
+    n = sizes[1] + sizes[2] // 3
+    got = sample_front(fact, n)
+    assert {r.id_wavelength: r["count"] for r in got.groupBy("id_wavelength").count().collect()} == {1: sizes[1], 2: n - sizes[1]}
+    assert sorted(r.Fact_ID for r in sample_front(fact, 50).collect()) == sorted(r.Fact_ID for r in lowest_lots(fact.filter("id_wavelength = 1"), 50, 42, "Fact_ID").collect())
+    assert sample_front(fact, 0).count() == 0 and sample_front(fact, total * 2).count() == total
+    odd = spark.createDataFrame([(1, None), (2, None), (3, "b"), (4, "a"), (5, "a")], "Fact_ID long, part string")
+    assert [tuple(r) for r in front_quotas(odd, 3, "part").orderBy("part").collect()] == [(None, 2, 2), ("a", 2, 1), ("b", 1, 0)]
+    assert {r.Fact_ID for r in sample_front(odd, 2, part="part").collect()} == {1, 2}
+    assert sample_front(odd.limit(0), 5, part="part").count() == 0
+
+
 def test_samples(star):
     a, b = (sample_rows(f, 50).select("Fact_ID") for f in (star.fact, star.fact.repartition(13)))
     assert a.count() == 50 and sorted(a.collect()) == sorted(b.collect())

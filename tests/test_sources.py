@@ -193,6 +193,21 @@ def test_geojson_lines_in_any_name(spark, tmp_path):
         read_country_polygons(spark, str(tmp_path / "none.json"))
 
 
+def test_geojson_folder_of_several_layouts(spark, tmp_path):
+    """Every file of a folder is read in its own layout; what the text names and reading doesn't give is an error."""
+    folder = tmp_path / "mixed.json"
+    folder.mkdir()
+    feature = lambda n: json.dumps(_feature(n))
+    (folder / "a lines.json").write_text(feature("L0") + "\n" + feature("L1") + "\n\n" + feature("L2") + "\n")
+    (folder / "b.json").write_text(json.dumps({"type": "FeatureCollection", "features": [_feature("F0"), _feature("F1")]}, indent=1))
+    (folder / "c.json").write_text('{"type":"FeatureCollection","features":[\n' + feature("G0") + ",\n" + feature("G1") + "\n]}")
+    (folder / "d.json").write_text(json.dumps({"type": "FeatureCollection", "features": [_feature("H0")]}) + "\n" + feature("H1"))
+    assert sorted(r.Country for r in read_country_polygons(spark, str(folder)).collect()) == ["F0", "F1", "G0", "G1", "H0", "H1", "L0", "L1", "L2"]
+    (folder / "e.json").write_text(feature("X0") + "\n" + feature("X1")[:-5] + "\n")
+    with pytest.raises(ValueError, match="e.json: 2 features in the text"):
+        read_country_polygons(spark, str(folder))
+
+
 def test_files_with_other_headers_are_refused(spark, tmp_path):
     (tmp_path / "obs").mkdir()
     names = ["AERONET_Site", "Date(dd:mm:yyyy)", "Day_of_Year", "Precipitable_Water(cm)", "440-870_Angstrom_Exponent", "Site_Latitude(Degrees)", "Site_Longitude(Degrees)", "Site_Elevation(m)"]
