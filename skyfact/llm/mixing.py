@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfact.llm.shared import picked, stored
+from skyfact.operators.joins import lookup_join
 
 BLOCK = 32
 SHARE = 1.5
@@ -60,6 +61,15 @@ def source_targets(sizes: DataFrame, share: float = SHARE, weights: tuple[int, .
     return rows.select("no", "source", "size", "weight", target.alias("target"))
 
 
+def shares(targets: DataFrame) -> DataFrame:
+    """Adds since, upto (the part of the points that falls to each source, end exclusive) and all, the sum of the targets."""
+    by_no = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
+    everything = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = targets.withColumn("upto", F.sum("target").over(by_no)).withColumn("all", F.sum("target").over(everything))
+    upto = F.floor(F.try_divide(F.col("upto"), F.col("all")) * POINTS)
+    return sums.withColumn("upto", F.coalesce(upto, F.lit(0))).withColumn("since", F.coalesce(F.lag("upto").over(Window.orderBy("no")), F.lit(0)))
+
+
 def _running(df: DataFrame, keys: list[str], order: list[str], chunk: str, size: str, name: str) -> DataFrame:
     """Sum of ``size`` over the earlier rows of the same keys; chunks follow each other in ``order``."""
     sums = df.groupBy(*keys, chunk).agg(F.sum(size).alias("_sum"))
@@ -70,22 +80,21 @@ def _running(df: DataFrame, keys: list[str], order: list[str], chunk: str, size:
     return local.join(starts, [*keys, chunk]).withColumn(name, F.col("_start") + F.col("_local")).drop("_start", "_local", chunk)
 
 
-def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """slot, no (source), rank: which block of which source each slot of the mix takes."""
-    by_no = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy("no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    shares = targets.withColumn("upto", F.sum("target").over(by_no)).withColumn("all", F.sum("target").over(everything))
-    shares = shares.withColumn("upto", F.floor(F.try_divide(F.col("upto"), F.col("all")) * POINTS))
-    # one entry per source; of equal ends, the first is that of the source with a share
-    ends = sorted((r.upto or 0, r.no, r["all"] or 0) for r in shares.select("upto", "no", "all").collect())
-    n = int(ends[0][2] / block + 0.5) if ends else 0
+def schedule(sources: DataFrame, n: int) -> DataFrame:
+    """Sources (no, since, upto: their part of the points) -> slot, no, rank: which block of which source each of n slots takes.
+
+    The points are cut into cells, several for each source on average, and meet the sources in their cell; so
+    slots and sources meet about once each, however many sources there are and however small they get.
+    """
+    bits = min(31, max(4, (4 * max(1, sources.count())).bit_length()))
+    cell = lambda point: F.shiftright(point, 32 - bits)
+    parts = sources.filter("upto > since").withColumn("cell", F.explode(F.sequence(cell(F.col("since")), cell(F.col("upto") - 1))))
     point = F.pmod(F.pmod(F.col("slot") + 1, F.lit(POINTS)) * F.lit(STEP), F.lit(POINTS))
-    no = F.lit(ends[-1][1] if ends else 0)
-    for upto, k, _ in ends[-2::-1]:
-        no = F.when(F.col("point") < upto, F.lit(k)).otherwise(no)
-    slots = targets.sparkSession.range(n).withColumnRenamed("id", "slot").withColumn("point", point).select("slot", no.alias("no"))
-    slots = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK_ROWS)).withColumn("one", F.lit(1).cast("long"))
-    return _running(slots, ["no"], ["slot"], "chunk", "one", "rank").drop("one")
+    slots = sources.sparkSession.range(n).withColumnRenamed("id", "slot").withColumn("point", point).withColumn("cell", cell(F.col("point")))
+    met = lookup_join(slots, stored(parts.select("no", "since", "upto", "cell"), "mix-cells"), ["cell"], "inner")
+    dealt = met.filter((F.col("point") >= F.col("since")) & (F.col("point") < F.col("upto"))).select("slot", "no")
+    dealt = dealt.withColumn("chunk", F.floor(F.col("slot") / CHUNK_ROWS)).withColumn("one", F.lit(1).cast("long"))
+    return _running(stored(dealt, "mix-slots"), ["no"], ["slot"], "chunk", "one", "rank").drop("one")
 
 
 def laid_out(docs: DataFrame, seed: str = "mix", passes: int = PASSES) -> DataFrame:
@@ -112,14 +121,14 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, weights: tupl
     """
     # sizes come from a scan of whole texts; they are counted once
     docs = stored(docs.select(F.col("id").cast("long").alias("id"), "source", F.col("size").cast("long").alias("size"), "digest"), "mix-sizes")
-    sizes = docs.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_docs"))
-    targets = source_targets(sizes.drop("n_docs"), share, weights)
-    chunks = sizes.select("source", F.ceil(F.col("n_docs") / CHUNK_ROWS).alias("n_chunks"))
-    sources = targets.withColumnsRenamed({"size": "source_size", "source": "_source"}).join(
-        chunks, F.col("_source").eqNullSafe(F.col("source"))
-    ).drop("source", "weight")
-    placed = docs.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = laid_out(placed, seed)
+    sizes = stored(docs.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n_docs")), "mix-sums")
+    chunks = sizes.select(F.col("source").alias("_source"), F.ceil(F.col("n_docs") / CHUNK_ROWS).alias("n_chunks"))
+    shared = shares(source_targets(sizes.drop("n_docs"), share, weights))
+    # a row for each source, stored, so that its windows are no part of the plans to come
+    sources = stored(shared.join(chunks, F.col("_source").eqNullSafe(F.col("source"))).drop("_source"), "mix-sources")
+    n = sources.agg(F.max("all")).first()[0]
+    placed = lookup_join(docs, sources.select("source", "no", F.col("size").alias("source_size"), "target", "n_chunks"), ["source"], "inner", null_safe=True)
+    placed = stored(laid_out(placed, seed), "mix-placed")
     lines = placed.filter(F.col("size") > 0).select(
         "no", "id", "size", "at_0", F.explode(F.array(*[F.struct(F.lit(k).alias("pass"), (F.col(f"at_{k}") + F.col("source_size") * k).alias("at")) for k in range(PASSES)])).alias("p")
     ).select("no", "id", "size", "at_0", "p.*")
@@ -127,7 +136,8 @@ def mix(docs: DataFrame, block: int = BLOCK, share: float = SHARE, weights: tupl
     pieces = lines.withColumn("rank", F.explode(blocks))
     start = F.greatest(F.col("rank") * block - F.col("at"), F.lit(0))
     end = F.least((F.col("rank") + 1) * block - F.col("at"), F.col("size"))
-    mixed = pieces.join(schedule(targets, block), ["no", "rank"]).select("slot", "no", "rank", "pass", "at_0", "id", start.alias("start"), end.alias("end"))
+    slots = schedule(sources.select("no", "since", "upto"), int((n or 0) / block + 0.5))
+    mixed = pieces.join(slots, ["no", "rank"]).select("slot", "no", "rank", "pass", "at_0", "id", start.alias("start"), end.alias("end"))
     return placed, mixed
 
 
@@ -143,7 +153,7 @@ def excerpts(docs: DataFrame, placed: DataFrame, mixed: DataFrame) -> DataFrame:
 
     A document of which a pass takes all words keeps its text; else it has those words, joined by one space.
     """
-    spans = mixed.groupBy("no", "at_0", "pass").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = stored(mixed.groupBy("no", "at_0", "pass").agg(F.min("start").alias("start"), F.max("end").alias("end")), "mix-spans")
     rows = placed.filter("size > 0").select("no", "at_0", F.col("id").alias("doc_id"), "source", "digest", "size")
     counts = rows.groupBy("doc_id", "source", "digest").agg(F.count("*").alias("_n")).withColumnsRenamed({c: f"k_{c}" for c in ("doc_id", "source", "digest")})
     same = F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("source").eqNullSafe(F.col("k_source")) & (F.col("digest") == F.col("k_digest"))
