@@ -17,7 +17,8 @@ bounded size:
    leaf for a node whatever the number of its copies, so that no node outgrows a group.
 4. Each slice marks the words under repeated windows; windows in a row make the maximal repeats.
 
-Words are compared by two independent 64-bit hashes of the window, 128 bits together.
+Words are compared by a 64-bit hash, and windows by two hashes over those of their words.  The depth of all nodes that
+matter is that of the window, so leaves are ordered by the windows' hashes in place of the words: the runs are the same.
 """
 
 from __future__ import annotations
@@ -41,12 +42,15 @@ _NO_ID = np.iinfo(np.int64).max
 
 
 class _Slice:
-    """Words and windows of a slice's documents, in order of (id, text); null ids come last."""
+    """Words and windows of a slice's documents, in order of (id, tie, text); null ids come last."""
 
     def __init__(self, docs: pa.Table, window: int):
         ids = docs["id"].combine_chunks()
-        at = docs.append_column("_no", pa.array(np.asarray(ids.is_null()), pa.int8())).sort_by([("_no", "ascending"), ("id", "ascending"), ("text", "ascending")])
+        if "tie" not in docs.column_names:
+            docs = docs.append_column("tie", pa.array(np.zeros(docs.num_rows, np.int64)))
+        at = docs.append_column("_no", pa.array(np.asarray(ids.is_null()), pa.int8())).sort_by([("_no", "ascending"), ("id", "ascending"), ("tie", "ascending"), ("text", "ascending")])
         self.docs = at.drop_columns(["_no"])
+        self.ties = np.asarray(at["tie"].combine_chunks(), np.int64)
         self.ids = np.asarray(at["id"].combine_chunks().fill_null(_NO_ID), np.int64)
         self.buf, self.offsets = text_bytes(at["text"])
         start, end, self.doc = spans(plain_words(self.buf), self.offsets)
@@ -155,7 +159,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, slice_bytes: int = SLI
     heavy = heavy_prefixes(docs, window)
     # rows without an id are told apart by their text
     key = F.pmod(F.xxhash64("id", F.when(F.col("id").isNull(), F.col("text"))), F.lit(n))
-    dealt = docs.select(key.alias("slice"), "id", "text")
+    tie = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    dealt = docs.select(key.alias("slice"), "id", tie.alias("tie"), "text")
     by_slice = lambda df: df.groupBy("slice")
 
     def anchors(key, t):
@@ -180,11 +185,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, slice_bytes: int = SLI
         _, (known,) = _unpacked(answers, "<u8")
         sent = s.first_of_equals(a, b) & member(s.anchors(), np.sort(known))
         at = s.at[sent]
-        return _packed(_group_of(s, at, a[sent], heavy, n), key[0].as_py(), a[sent], b[sent], s.ids[s.doc[at]].astype("<i8"))
+        return _packed(_group_of(s, at, a[sent], heavy, n), key[0].as_py(), a[sent], b[sent], s.ids[s.doc[at]].astype("<i8"), s.ties[s.doc[at]].astype("<i8"))
 
     def subtree(t):
-        where, (a, b, first) = _unpacked(t, "<u8", "<u8", "<i8")
-        leaves = np.lexsort((where, first, b, a))
+        where, (a, b, first, tie) = _unpacked(t, "<u8", "<u8", "<i8", "<i8")
+        leaves = np.lexsort((where, tie, first, b, a))
         a, b, where = a[leaves], b[leaves], where[leaves]
         deep = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
         later = np.r_[False, deep]
@@ -237,6 +242,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, slice_bytes: int = SLI
 
     asked = by_slice(dealt).applyInArrow(anchors, _packed_schema(1))
     common = asked.groupBy("grp").applyInArrow(shared, "slice long, c0 binary")
-    leaves = by_slice(dealt).cogroup(by_slice(common)).applyInArrow(lambda key, t, x: suffixes(key, t, x) if t.num_rows else suffixes(key, t, x).slice(0, 0), _packed_schema(3))
+    leaves = by_slice(dealt).cogroup(by_slice(common)).applyInArrow(lambda key, t, x: suffixes(key, t, x) if t.num_rows else suffixes(key, t, x).slice(0, 0), _packed_schema(4))
     repeats = leaves.groupBy("grp").applyInArrow(subtree, "slice long, c0 binary, c1 binary")
     return by_slice(dealt).cogroup(by_slice(repeats)).applyInArrow(mark, "id long, n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string")

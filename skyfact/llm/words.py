@@ -1,8 +1,10 @@
 """Words of whole texts as numpy arrays: spans, hashes of words, of word prefixes and of word sequences.
 
-A word is a run of bytes other than 0x20 and 0x09-0x0D.  Hashes are polynomials modulo 2**64 over
-random byte values with an odd base, so that any span's value is a difference of two running sums,
-and are mixed afterwards.  Working memory is bounded by ``CHUNK`` plus the longest single word.
+A word is a run of bytes other than 0x20 and 0x09-0x0D.  A word's hash is the sum of a random value for each
+byte times a random one for its place in the word, modulo 2**64 and mixed afterwards: unlike powers
+of one base, independent factors leave no words that collide for every choice.  Hashes of sequences of words, of a
+bounded number of them, are polynomials over the words' hashes.  Working memory is bounded by ``CHUNK``
+plus the longest single word.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.frombuffer(b"".join(hashlib.sha256(bytes([i])).digest()[:8] for i in range(256)), "<u8")
 
 
@@ -42,9 +44,14 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)[:n]
 
 
-@lru_cache(maxsize=2)
-def _byte_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(_BASE, n), powers(inverse(_BASE), n)
+@lru_cache(maxsize=1)
+def _common_places() -> np.ndarray:
+    return _places(1 << 16)
+
+
+def _places(n: int) -> np.ndarray:
+    """A random odd factor for each place in a word."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _PLACE) | np.uint64(1)
 
 
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,15 +93,19 @@ def hash_words(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lengths: tup
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + CHUNK, "right")))
         lo, n = int(start[i]), int(end[j - 1] - start[i])
-        p, q = _byte_powers(CHUNK) if n <= CHUNK else (powers(_BASE, n), powers(inverse(_BASE), n))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[buf[lo : lo + n]] * p[:n], out=total[1:])
         s, e = start[i:j] - lo, end[i:j] - lo
-        out[0][i:j] = mix((total[e] - total[s]) * q[s] + (e - s).astype(np.uint64))
+        place = np.arange(n) - np.repeat(s, np.diff(s, append=n))
+        longest = int((e - s).max())
+        factors = _common_places() if longest <= 1 << 16 else _places(longest)
+        # what lies between words is in no difference of sums
+        value = _BYTE[buf[lo : lo + n]] * factors[np.minimum(place, len(factors) - 1)]
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(value, out=total[1:])
+        out[0][i:j] = mix((total[e] - total[s]) + (e - s).astype(np.uint64))
         for k, length in enumerate(lengths, 1):
             ok = e - s >= length
             cut = np.where(ok, s + length, s)
-            out[k][i:j] = np.where(ok, mix((total[cut] - total[s]) * q[s] + np.uint64(length << 40)), 0)
+            out[k][i:j] = np.where(ok, mix((total[cut] - total[s]) + np.uint64(length << 40)), 0)
         i = j
     return out
 

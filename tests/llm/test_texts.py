@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 import xxhash
@@ -44,7 +45,8 @@ def awkward():
 
 
 def brute_dedup(rows, window):
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, rows[i][1] is not None, rows[i][1] or ""))
+    tie = lambda t: np.int64(np.uint64(xxhash.xxh64_intdigest(t.encode(), seed=42))) if t is not None else 42
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, tie(rows[i][1]) if rows[i][0] is None else 0, rows[i][1] is not None, rows[i][1] or ""))
     seen, out = set(), []
     for i in order:
         words = WORD.findall(rows[i][1] or "")
@@ -84,6 +86,23 @@ def test_substring_dedup_whole_table(spark):
     assert substring_dedup.repeated_spans(texts(spark, [])).count() == 0
 
 
+def test_word_hashes_tell_words_apart(spark):
+    """Words that collide under powers of any base modulo 2**64: Thue-Morse strings of 1,024 letters."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    a, b = ("".join(x[k] for k in bits) for x in ("ab", "ba"))
+    opening = " ".join(f"w{i}" for i in range(19))
+    out = substring_dedup.repeated_spans(texts(spark, [(1, f"{opening} {a}"), (2, f"{opening} {b}"), (3, f"{opening} {a}")]))
+    assert {r.id: r.n_removed for r in out.collect()} == {1: 0, 2: 0, 3: 20}
+
+
+def test_null_ids_over_slices(spark):
+    """Which of the documents without an id keeps a passage doesn't depend on how they are dealt out."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = texts(spark, [(None, f"text {i} {passage} end{i}") for i in range(8)])
+    outs = [Counter((r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.repeated_spans(rows, slice_bytes=n).collect()) for n in (8 << 20, 600, 300)]
+    assert outs[0] == outs[1] == outs[2] and sum(n for (_, gone, _), n in outs[0].items() if gone == 0) == 1
+
+
 def brute_fill(sizes, share=1.5, weights=(5, 2, 1)):
     """Share out by weight, stop the full ones, share out the rest again."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
@@ -142,6 +161,21 @@ def test_mixing_small(spark):
     assert len(out) == 200 and abs(sum(r.taken for r in out) / (1.5 * sum(r.size for r in out)) - 1) < 0.02
 
 
+def test_mixing_many_sources(spark):
+    """Sources are rows of a table: 5,000 of them, most of few words, one with a third of all."""
+    docs = spark.range(15000).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 5000) END AS source", "repeat('w ', CAST(id % 7 * 30 AS INT)) AS text"
+    )
+    placed, mixed = mixing.mix(queries.sized(docs))
+    out = mixing.taken(placed, mixed)
+    sums = out.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken"), F.first("source_size").alias("size")).collect()
+    fill = brute_fill({r.source: r["size"] for r in sums})
+    assert len(sums) > 3000 and all(r.target == pytest.approx(fill[r.source]) for r in sums)
+    assert all(abs(r.taken - r.target) <= 4 * mixing.BLOCK for r in sums)
+    assert abs(sum(r.taken for r in sums) / sum(r.target for r in sums) - 1) < 0.05
+    assert out.filter("taken > 2 * size").isEmpty() and out.count() == 15000
+
+
 def brute_spans(text):
     text, out = text or "", []
     for kind, pattern, least in (("assign", secrets.ASSIGN, 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)):
