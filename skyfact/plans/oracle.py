@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from skyfact.operators.analysis import CORR_COLUMNS as CORR
 from skyfact.operators.analysis import SCATTER_COLUMNS as SCATTER
-from skyfact.plans.roundtrips import BAD_CELL, BAD_DATE, EMPTY_CELL, NAN_CELL
+from skyfact.plans.roundtrips import BAD_CELL, BAD_DATE, EMPTY_CELL, NAN_CELL, SKETCHED_DAYS
 from skyfact.schemas import WEATHER_MEASURES as MEASURES
 from skyfact.sources.views import AOD_COLUMNS as AOD
 from skyfact.sources.views import BANDS, TEETH
@@ -489,6 +489,12 @@ def _round_trips() -> dict[str, str]:
             id_wavelength IS NULL OR id_site IS NULL OR AOD_Value IS NULL THEN 'rejected' ELSE 'loaded' END AS status FROM fact"""),
         "warehouse_dims": _q("""SELECT id_site, site, lat AS Latitude, lon AS Longitude, elev AS Elevation, n_name AS Country, r_name AS Continent FROM ds"""),
         "fact_upgraded": _q("""SELECT Fact_ID, id_date, id_site, CAST(NULL AS BIGINT) AS id_weather, AOD_Value, 0 AS is_enriched FROM fact"""),
+        "fact_mixed_folder": _q("""SELECT Fact_ID, id_date, id_site, CASE WHEN Fact_ID % 2 = 1 THEN id_weather END AS id_weather, AOD_Value,
+            CASE WHEN Fact_ID % 2 = 1 THEN is_enriched ELSE 0 END AS is_enriched FROM fact"""),
+        "warehouse_two_loads": _q(f"""SELECT ds.site, n_name AS Country, {_DAY}, Wavelength_nm, AOD_Value, is_enriched FROM fact
+            JOIN dd ON fact.id_date = dd.id_date JOIN dw ON fact.id_wavelength = dw.id_wavelength JOIN ds ON fact.id_site = ds.id_site"""),
+        "quantiles_by_sketch": _q(_union(f"""SELECT '{c}' AS "column", count({c}) AS n, min({c}) AS least, max({c}) AS largest, 0 AS off FROM obs
+            WHERE d BETWEEN '{SKETCHED_DAYS[0]}' AND '{SKETCHED_DAYS[1]}'""" for c in AOD)),
         "bulk_csv": _q(f"SELECT Fact_ID, {_csv(_FACT)} FROM fact"),
         "sample_csv": _q(f"""SELECT Fact_ID, ds.site, n_name AS Country, AOD_Value FROM (SELECT * FROM fact ORDER BY {_LOT} LIMIT 50) AS f
             LEFT JOIN ds ON f.id_site = ds.id_site"""),

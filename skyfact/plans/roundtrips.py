@@ -16,9 +16,11 @@ from skyfact.functions.columns import coerce_numeric, column_family
 from skyfact.operators.facts import build_fact, number_facts, upgrade_fact
 from skyfact.operators.quality import dq_report
 from skyfact.operators.sampling import sample_geo
+from skyfact.operators.sketches import add_days, rank_errors, sketch_quantiles
+from skyfact.plans.incremental import append_load, read_warehouse
 from skyfact.plans.warehouse import Warehouse
-from skyfact.schemas import FACT_COLUMNS, LAT, LON, RAW_DATE, RAW_TIME, SITE, WATER, WEATHER_RENAME
-from skyfact.session import scratch_dir
+from skyfact.schemas import FACT_COLUMNS, LAT, LOADED_FACT_COLUMNS, LON, RAW_DATE, RAW_TIME, SITE, WATER, WEATHER_RENAME
+from skyfact.session import materialize, scratch_dir
 from skyfact.sinks.tables import (
     load_warehouse,
     parquet_sink,
@@ -31,7 +33,7 @@ from skyfact.sinks.tables import (
 )
 from skyfact.sources import views
 from skyfact.sources.mart import read_mart_csv
-from skyfact.sources.observations import clean_observations, parse_obs_time, preflight, read_columns, read_fact, read_observations
+from skyfact.sources.observations import clean_observations, parse_obs_time, preflight, read_columns, read_fact, read_mixed_fact, read_observations
 from skyfact.sources.polygons import read_country_polygons
 from skyfact.sources.weather import latest_weather, read_weather
 
@@ -150,6 +152,46 @@ def fact_upgraded(spark: SparkSession, d: str) -> DataFrame:
     return upgrade_fact(old).select("Fact_ID", "id_date", "id_site", "id_weather", "AOD_Value", "is_enriched")
 
 
+def fact_mixed_folder(spark: SparkSession, d: str) -> DataFrame:
+    """A folder with parts of an earlier layout and of the present one."""
+    path, fact = _folder(spark, "mixed"), Warehouse.of(spark, d).star.fact
+    fact.filter("Fact_ID % 2 = 0").select(FACT_COLUMNS).write.parquet(path)
+    fact.filter("Fact_ID % 2 = 1").select(LOADED_FACT_COLUMNS).write.mode("append").parquet(path)
+    return read_mixed_fact(spark, path).select("Fact_ID", "id_date", "id_site", "id_weather", "AOD_Value", "is_enriched")
+
+
+# Fixed value: the day on which the second load begins.
+SECOND_LOAD = "1995-06-01"
+
+
+def warehouse_two_loads(spark: SparkSession, d: str) -> DataFrame:
+    """The facts of a warehouse that was loaded twice, with days of their own, by what their keys stand for."""
+    root, house = _folder(spark, "grown"), Warehouse.of(spark, d)
+    outlines = views.country_polygons(spark, d)
+    for days in (f"Date < '{SECOND_LOAD}'", f"Date >= '{SECOND_LOAD}' OR Date IS NULL"):
+        append_load(spark, root, house.observations.filter(days), outlines, house.weather)
+    star = read_warehouse(spark, root)
+    rows = star.fact.join(star.date.select("id_date", "Date"), "id_date").join(star.wavelength.select("id_wavelength", "Wavelength_nm"), "id_wavelength")
+    rows = rows.join(star.site.select("id_site", col(SITE).alias("site"), "Country"), "id_site")
+    return _plain(rows.select("site", "Country", "Date", "Wavelength_nm", "AOD_Value", "is_enriched"))
+
+
+# The days that the stored sketches are asked for.
+SKETCHED_DAYS = ("1994-01-01", "1996-12-31")
+
+
+def quantiles_by_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Per band: values, least, largest, and whether every tenth is within one percent of its rank, from stored sketches of days."""
+    path, obs = _folder(spark, "sketches"), Warehouse.of(spark, d).observations
+    first, last = SKETCHED_DAYS
+    add_days(spark, path, obs.filter(F.col("Date") < SECOND_LOAD), views.AOD_COLUMNS)
+    add_days(spark, path, obs, views.AOD_COLUMNS)
+    found = materialize(sketch_quantiles(spark.read.parquet(path), [i / 10 for i in range(11)], first, last), "sketched")
+    errors = rank_errors(obs.filter(F.col("Date").between(first, last)), found, views.AOD_COLUMNS)
+    at = lambda p: F.max(F.when(F.col("prob") == p, F.col("quantile")))
+    return errors.groupBy("column", "n").agg(at(0.0).alias("least"), at(1.0).alias("largest"), F.max((F.col("error") > 0.01).cast("int")).alias("off"))
+
+
 def bulk_csv(spark: SparkSession, d: str) -> DataFrame:
     path = _folder(spark, "bulk")
     fact = Warehouse.of(spark, d).star.fact.select(FACT_COLUMNS)
@@ -212,6 +254,9 @@ ROUND_TRIPS = {
     "warehouse_load": warehouse_load,
     "warehouse_dims": warehouse_dims,
     "fact_upgraded": fact_upgraded,
+    "fact_mixed_folder": fact_mixed_folder,
+    "warehouse_two_loads": warehouse_two_loads,
+    "quantiles_by_sketch": quantiles_by_sketch,
     "bulk_csv": bulk_csv,
     "sample_csv": sample_csv,
     "dq_record": dq_record,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skyfact.functions import col
 from skyfact.functions.columns import sentinel_to_null
+from skyfact.operators.facts import upgrade_fact
 from skyfact.schemas import RAW_DATE, RAW_TIME, TEXT_COLUMNS, csv_schema, detect_columns
 
 
@@ -76,3 +77,9 @@ def read_fact(spark: SparkSession, fact_dir: str) -> DataFrame:
     if fact.isEmpty():
         raise FileNotFoundError(f"no fact rows in {fact_dir}")
     return fact
+
+
+def read_mixed_fact(spark: SparkSession, path: str) -> DataFrame:
+    """A fact whose parts were written in different layouts: columns of all parts, with the defaults of the
+    present layout where a part lacks them."""
+    return upgrade_fact(spark.read.option("mergeSchema", True).parquet(path))
