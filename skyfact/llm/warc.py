@@ -1,10 +1,16 @@
 """WARC archives as a chunked record table.
 
 The data source ``warc`` writes and reads folders of gzip members, one for each record.  Both ways a
-record is a run of rows with its identifier and a chunk number; a task holds one chunk of a payload at
-a time, and the reader carries the digest on from chunk to chunk, so that the last row of a record has
-the digest and the length of the whole.  A task's archive becomes visible only when the task's result is
-committed, under a name of its own; what lost or repeated tasks wrote is deleted or ignored.
+record is a run of rows with its identifier and a chunk number.  Writer and reader hold a bounded batch
+of chunks and carry the digest on from chunk to chunk: the writer refuses a record whose chunks don't
+add up to the digest and length in its head, and the last row that the reader makes of a record has
+both of the whole.  Before, where Spark cuts a page into rows, the page is one value of its table.
+
+A task's archive becomes visible only when the job is committed, under a name of its own; the folder
+then has ``_SUCCESS``, without which it isn't read, and what lost or repeated tasks wrote is deleted.
+Folders are those of Spark's file systems: ``write_warc`` and ``read_warc`` resolve a path without a scheme,
+or below a mount, on the driver.  Executors open what comes of it by Arrow, which knows local, HDFS,
+S3, Google and Azure stores; any other scheme raises, as does a path without one in the format's options.
 """
 
 from __future__ import annotations
@@ -26,6 +32,9 @@ from skyfact.llm.shared import stored
 from skyfact.session import scratch_dir
 
 CHUNK_BYTES = 1 << 18
+#: Payload in a batch on its way to the writer, at most
+BATCH_BYTES = 1 << 24
+_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -35,8 +44,26 @@ WRITTEN = "record_id string, chunk_no int, record_type string, uri string, refer
 READ = "archive string, record_no long, record_id string, chunk_no int, record_type string, uri string, refers_to string, payload_bytes long, payload_digest string, data binary, bytes_so_far long, digest_so_far string, last boolean"
 
 
+#: Hadoop's names of stores, and Arrow's
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}
+
+
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else "file://" + path[5:]) if ":" in path else (fs.LocalFileSystem(), path)
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{path}: name the file system, for executors don't see each other's disks")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+
+
+def resolved(spark: SparkSession, path: str, create: bool = False) -> str:
+    """The folder as its file system names it, with a scheme; one that isn't there raises, if not to be created."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if create:
+        system.mkdirs(place)
+    return system.resolvePath(place).toString()
 
 
 @dataclass
@@ -65,33 +92,62 @@ class _Writer(DataSourceArrowWriter):
         where.create_dir(root, recursive=True)
         name = f"part-{uuid.uuid4().hex}.warc.gz"
         with where.open_output_stream(f"{root}/.{name}", compression=None) as out:
-            packer = None
+            record = None
             for batch in iterator:
                 cols = {c: batch.column(c) for c in batch.schema.names}
                 firsts = {c: cols[c].to_pylist() for c in cols if c != "data"}
                 for i, data in enumerate(cols["data"]):
                     if firsts["chunk_no"][i] == 0:
-                        if packer:
-                            out.write(packer.compress(b"\r\n\r\n") + packer.flush())
-                        packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
-                        out.write(packer.compress(record_head(*[firsts[c][i] for c in ("record_id", "record_type", "uri", "refers_to", "payload_bytes", "payload_digest")])))
-                    if firsts["record_type"][i] == "response":
-                        out.write(packer.compress(data.as_buffer() or b""))
-            if packer:
-                out.write(packer.compress(b"\r\n\r\n") + packer.flush())
+                        if record:
+                            record.close()
+                        record = _Record(out, *[firsts[c][i] for c in _HEAD])
+                    record.add(firsts["record_id"][i], firsts["chunk_no"][i], data.as_buffer() or b"")
+            if record:
+                record.close()
         return _Wrote(name)
 
+    def _clean(self, where, root):
+        for left in where.get_file_info(fs.FileSelector(root)):
+            if left.base_name.startswith(".part-") and left.base_name.endswith(".warc.gz"):
+                where.delete_file(left.path)
+
     def commit(self, messages):
         where, root = _open(self.path)
         for m in filter(None, messages):
             where.move(f"{root}/.{m.name}", f"{root}/{m.name}")
+        self._clean(where, root)
         with where.open_output_stream(f"{root}/_SUCCESS"):
             pass
 
     def abort(self, messages):
-        where, root = _open(self.path)
-        for m in filter(None, messages):
-            where.delete_file(f"{root}/.{m.name}")
+        self._clean(*_open(self.path))
+
+
+_HEAD = ("record_id", "record_type", "uri", "refers_to", "payload_bytes", "payload_digest")
+
+
+class _Record:
+    """One gzip member, written chunk by chunk; its digest runs along."""
+
+    def __init__(self, out, record_id, record_type, uri, refers_to, payload_bytes, digest):
+        self.out, self.id, self.response, self.stated, self.left, self.next = out, record_id, record_type == "response", digest, payload_bytes, 0
+        self.digest = hashlib.sha1()
+        self.packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+        out.write(self.packer.compress(record_head(record_id, record_type, uri, refers_to, payload_bytes, digest)))
+
+    def add(self, record_id, chunk_no, data):
+        if (record_id, chunk_no) != (self.id, self.next):
+            raise ValueError(f"{record_id}: chunk {chunk_no} after {self.next - 1} of {self.id}")
+        self.next += 1
+        if self.response:
+            self.digest.update(data)
+            self.left -= len(data)
+            self.out.write(self.packer.compress(data))
+
+    def close(self):
+        if self.response and (self.left or self.digest.hexdigest() != self.stated):
+            raise ValueError(f"{self.id}: the chunks are not the payload that the head states")
+        self.out.write(self.packer.compress(b"\r\n\r\n") + self.packer.flush())
 
 
 @dataclass
@@ -106,6 +162,8 @@ class _Reader(DataSourceReader):
     def partitions(self):
         where, root = _open(self.path)
         files = where.get_file_info(fs.FileSelector(root))
+        if files and not any(f.base_name == "_SUCCESS" for f in files):
+            raise ValueError(f"{self.path}: its writing did not end")
         return [_Archive(f.base_name) for f in sorted(files, key=lambda f: f.base_name) if f.base_name.endswith(".warc.gz") and not f.base_name.startswith(".")]
 
     def read(self, partition):
@@ -231,14 +289,20 @@ def write_warc(pages: DataFrame, path: str, chunk: int = CHUNK_BYTES) -> None:
 
     Null html is an empty payload; a null uri gives way to the record's name; null ids are named null.
     """
-    _registered(pages.sparkSession)
-    record_rows(pages, chunk).write.format("warc").mode("append").save(path)
+    spark = pages.sparkSession
+    _registered(spark)
+    rows, before = record_rows(pages, chunk), spark.conf.get(_ROWS_CONF)
+    spark.conf.set(_ROWS_CONF, str(max(1, BATCH_BYTES // chunk)))
+    try:
+        rows.write.format("warc").mode("append").save(resolved(spark, path, create=True))
+    finally:
+        spark.conf.set(_ROWS_CONF, before)
 
 
 def read_warc(spark: SparkSession, path: str, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """The chunk rows of all archives of a folder: see READ.  An empty folder gives no rows."""
+    """The chunk rows of all archives of a folder: see READ.  An empty folder gives no rows, one whose writing did not end raises."""
     _registered(spark)
-    return spark.read.format("warc").option("chunk", chunk).load(path)
+    return spark.read.format("warc").option("chunk", chunk).load(resolved(spark, path))
 
 
 def archived(pages: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import io
 import random
 import zlib
 from collections import Counter
@@ -148,8 +150,6 @@ def test_warc(spark, chunk):
 
 
 def test_warc_damage(tmp_path):
-    import io
-
     head = warc.record_head("page:1", "response", "u", None, 4, "0" * 40)
     assert [r["data"] for r in warc.records(io.BytesIO(head + b"abcd\r\n\r\n"), 3)] == [b"abc", b"d"]
     for bad in (head + b"ab", head + b"abcdXXXX", b"junk\r\n\r\n"):
@@ -157,6 +157,58 @@ def test_warc_damage(tmp_path):
             list(warc.records(io.BytesIO(bad), 3))
 
 
+def test_warc_writer_checks_digests():
+    digest = hashlib.sha1(b"abcd").hexdigest()
+    record = warc._Record(out := io.BytesIO(), "page:1", "response", "u", None, 4, digest)
+    record.add("page:1", 0, b"ab")
+    record.add("page:1", 1, b"cd")
+    record.close()
+    assert [r["data"] for r in warc.records(io.BytesIO(gzip.decompress(out.getvalue())), 9)] == [b"abcd"]
+    for chunks in ([b"ab"], [b"ab", b"cx"], [b"ab", b"cd", b"e"], []):
+        record = warc._Record(io.BytesIO(), "page:1", "response", "u", None, 4, digest)
+        for k, data in enumerate(chunks):
+            record.add("page:1", k, data)
+        with pytest.raises(ValueError):
+            record.close()
+    with pytest.raises(ValueError):
+        warc._Record(io.BytesIO(), "page:1", "response", "u", None, 4, digest).add("page:1", 1, b"cd")
+
+
+def test_warc_default_file_system(spark, tmp_path):
+    """With a default file system other than the local one, a path without a scheme is below that one."""
+    far, near = tmp_path / "far", tmp_path / "near"
+    far.mkdir()
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    html = ["x" * 3000, "y", "x" * 3000, None]
+    rows = spark.createDataFrame([(i, f"u{i}", h) for i, h in enumerate(html)], "id long, uri string, html string")
+    try:
+        conf.set("fs.viewfs.mounttable.cluster.link." + str(near), far.as_uri())
+        conf.set("fs.viewfs.mounttable.cluster.linkFallback", "file:///")
+        conf.set("fs.defaultFS", "viewfs://cluster/")
+        warc.write_warc(rows, f"{near}/pages", 1000)
+        got = warc.read_warc(spark, f"{near}/pages", 700).filter("last").select("record_id", "bytes_so_far").collect()
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
+    assert Counter(map(tuple, got)) == Counter({("page:0", 0): 1, ("page:1", 1): 1, ("page:2", 3000): 1, ("page:3", 0): 1})
+    assert not near.exists() and any((far / "pages").glob("part-*.warc.gz"))
+
+
+def test_warc_folders(spark, tmp_path):
+    with pytest.raises(ValueError):
+        warc._open("/no/scheme")
+    with pytest.raises(Exception, match="FileNotFound"):
+        warc.read_warc(spark, str(tmp_path / "none"))
+    out = tmp_path / "out"
+    out.mkdir()
+    (out / ".part-lost.warc.gz").write_bytes(b"cut")
+    (out / "part-0.warc.gz").write_bytes(b"cut")
+    with pytest.raises(ValueError):
+        warc._Reader(out.as_uri(), 10).partitions()
+    warc._Writer(out.as_uri()).commit([])
+    assert not (out / ".part-lost.warc.gz").exists() and len(warc._Reader(out.as_uri(), 10).partitions()) == 1
+
+
 def test_warc_query(spark):
     html = {r.page_id: (r.html or "").encode() for r in table(spark, SF, "pages").collect()}
     out = queries.archive(spark, SF).collect()
