@@ -57,13 +57,29 @@ def test_topk_query(spark):
     assert Counter(map(tuple, out.collect())) == brute_topk(integers(rows), [r for r in integers(rows) if r[0] % 20 == 0], 20)
 
 
-def test_topk_large_numbers():
+def test_topk_large_numbers(spark):
     """Where doubles could round, integers are used."""
     rng = np.random.default_rng(0)
-    v = rng.integers(-(2**28), 2**28, (300, 16)).astype(float)
-    ids = np.arange(300)
-    q, i, s = exact_topk.search_block(ids, v, ids[:5], v[:5], 7)
-    assert Counter(zip(q.tolist(), np.tile(np.arange(1, 8), 5).tolist(), i.tolist(), s.tolist())) == brute_topk(list(zip(ids.tolist(), v.astype(np.int64).tolist())), list(zip(ids[:5].tolist(), v[:5].astype(np.int64).tolist())), 7)
+    v = rng.integers(-(2**28), 2**28, (300, 16))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    frame_ = spark.createDataFrame([(i, [float(c) for c in x]) for i, x in rows], "id long, vector array<double>")
+    out = exact_topk.top_k(frame_, frame_.filter("id < 5"), 7).collect()
+    assert Counter(map(tuple, out)) == brute_topk(rows, rows[:5], 7)
+
+
+def test_topk_reads_and_repeats(spark):
+    """Few vectors are read exactly; rows with one id are queries of their own; large groups of copies are no candidates."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=64) * 0.125]) for i in range(3000)]
+    rows += [(20, rows[7][1]), (20, rows[7][1]), (40, rows[40][1])] + [(5000 + i, rows[60][1]) for i in range(1500)]
+    scaled = vectors(spark, rows).withColumn("vector", exact_topk.scaled(F.col("vector"))).cache()
+    asked = scaled.filter("id % 20 = 0 AND id < 400")
+    pairs, _, _ = exact_topk.candidates(scaled, asked, 5, block_rows=1000, query_rows=8)
+    assert asked.count() == 23 and pairs.count() < 0.1 * 23 * len(rows)
+    got = Counter(map(tuple, exact_topk.top_k(scaled, asked, 5, block_rows=1000, query_rows=8).collect()))
+    whole = integers(rows)
+    assert got == sum((brute_topk(whole, [r], 5) for r in whole if r[0] % 20 == 0 and r[0] < 400), Counter())
+    scaled.unpersist()
 
 
 def brute_links(rows, threshold):
