@@ -1,10 +1,11 @@
 """License scans by a positional index of rare words.  DataFrame expressions only.
 
 The templates are short notices.  Document frequencies of their words are counted over all files; each
-template is indexed by its words of highest IDF and their positions.  A file's indexed words are looked up,
+template is indexed by its words of highest IDF and their positions.  All indexed words of a file are looked up,
 and each look-up votes for a template at a relative position, the file's word number less the
 template's.  What the votes at one position have of the template's index, by IDF, is the score there.
-A label needs a score of at least LEAST_SCORE and the template's mandatory phrases, word by word.
+Templates with a score of at least LEAST_SCORE are verified last: their mandatory phrases must stand in the file,
+word by word.  Files that lack some word of every template's phrases are left out of the look-up.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ WORD = f"[^{SEPARATOR}]+"
 #: Words of a template that are indexed, at most, and the least share of them, by IDF, for a label.
 INDEXED = 8
 LEAST_SCORE = 0.8
-# A file is looked up by so many of its indexed words, the rarest; all words of a template fit in.
-RAREST = 64
+# stands for words of a file that no template has
+_OTHER = "-"
 
 # Phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -89,66 +90,67 @@ def scan(docs: DataFrame) -> DataFrame:
     repeated rows stay; other columns are ignored.
     """
     vocabulary = sorted({w for text, _ in TEMPLATES.values() for w in text.split()})
-    needed = [p for _, need in TEMPLATES.values() for p in need]
-    base, must = phrase_pattern(PHRASES), phrase_pattern(needed)
+    base = phrase_pattern(PHRASES)
     text, words = F.col("_text"), F.col("_words")
     count = lambda x: F.regexp_count(x, F.lit(WORD))
     at_base = may_hold(text, PHRASES) & F.regexp_like(text, F.lit(base))
-    at_must = may_hold(text, needed) & F.regexp_like(text, F.lit(must))
     matches = F.when(F.col("_at_base"), F.regexp_extract_all(text, F.lit(base), F.lit(0)))
     gaps = F.when(F.col("_at_base"), F.split(text, base, -1))
-    # only files with some mandatory phrase can get a template's label
-    hits = F.filter(F.transform(words, lambda w, i: F.when(w.isin(vocabulary), F.struct(w.alias("word"), i.alias("pos")))), lambda x: x.isNotNull())
-    verified = F.array_compact(F.array(*[F.when(_all_there(text, need), F.lit(name)) for name, (_, need) in TEMPLATES.items()]))
+    here = F.array_intersect(words, F.array(*[F.lit(w) for w in vocabulary]))
+    candidate = F.lit(False)
+    for _, need in TEMPLATES.values():
+        every = sorted({w for p in need for w in p.split()})
+        candidate = candidate | (F.size(F.array_intersect("here", F.array(*[F.lit(w) for w in every]))) == len(every))
+    marked = F.array_join(F.transform("_words", lambda w: F.when(w.isin(vocabulary), w).otherwise(F.lit(_OTHER))), " ")
     rows = (
         docs.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), lowered(F.col("text")).alias("_text"))
-        .select("*", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"), at_base.alias("_at_base"), at_must.alias("_at_must"))
-        .select("*", matches.alias("m"), gaps.alias("_gaps"))
+        .select("*", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words"), at_base.alias("_at_base"))
+        .select("*", here.alias("here"), matches.alias("m"), gaps.alias("_gaps"))
         .select(
-            "row", "id", F.size(words).cast("long").alias("n_words"), F.array_intersect(words, F.array(*[F.lit(w) for w in vocabulary])).alias("here"), "m",
+            "row", "id", F.size(words).cast("long").alias("n_words"), "here", "m",
             F.when(F.col("_at_base"), count(F.element_at("_gaps", 1))).alias("first"),
             F.when(F.col("_at_base"), count(F.element_at("_gaps", -1)) + count(F.element_at("m", -1))).alias("behind"),
-            F.when(F.col("_at_must"), hits).alias("hits"), F.when(F.col("_at_must"), verified).alias("verified"),
+            F.when(candidate, marked).alias("marked"),
         )
     )
     # the texts are read once; frequencies, index and votes come from what is stored
     rows = stored(rows, "license-words")
     index = positional_index(*document_frequencies(rows, vocabulary))
-    idf = {w: x for _, w, _, x in index}
     labels = F.create_map(*[F.lit(x) for p, label in PHRASES.items() for x in (p.split()[0], label)])
     base_labels = F.array_sort(F.array_distinct(F.transform(F.col("m"), lambda m: F.element_at(labels, F.regexp_extract(m, WORD, 0)))))
     none = F.array().cast("array<string>")
-    own = _labelled(rows, index, idf)
-    return rows.join(own, "row", "left").select(
+    # the phrases of what the index has found
+    own = F.filter(F.coalesce("found", F.array().cast("array<struct<template:string,score:double>>")), lambda x: _all_there(F.col("marked"), x["template"]))
+    found = rows.join(_found(rows, index), "row", "left").withColumn("own", own)
+    return found.select(
         "id", "n_words", F.when(F.col("m").isNull(), 0).otherwise(F.size("m")).cast("long").alias("n_base"),
         F.col("first").cast("long").alias("first_word"), (F.col("n_words") - F.col("behind")).cast("long").alias("last_word"),
-        F.coalesce(base_labels, none).alias("base_labels"), F.array_sort(F.array_distinct(F.concat(F.coalesce(base_labels, none), F.coalesce("own", none)))).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"),
+        F.coalesce(base_labels, none).alias("base_labels"), F.array_sort(F.array_distinct(F.concat(F.coalesce(base_labels, none), F.transform("own", lambda x: x["template"])))).alias("labels"),
+        F.coalesce(F.array_max(F.transform("own", lambda x: x["score"])), F.lit(0.0)).alias("score"),
     )
 
 
-def _all_there(text: Column, phrases: list[str]) -> Column:
-    out = F.lit(True)
-    for p in phrases:
-        out = out & F.regexp_like(text, F.lit(phrase_pattern([p])))
+def _all_there(marked: Column, template: Column) -> Column:
+    """Whether the template's phrases stand in the marked words."""
+    out = F.lit(False)
+    for name, (_, need) in TEMPLATES.items():
+        every = F.lit(True)
+        for p in need:
+            every = every & F.contains(F.concat(F.lit(" "), marked, F.lit(" ")), F.lit(f" {p} "))
+        out = out | ((template == name) & every)
     return out
 
 
-def _labelled(rows: DataFrame, index: list[tuple[str, str, int, float]], idf: dict[str, float]) -> DataFrame:
-    """row, own (labels of templates), score, for rows with any."""
-    spark = rows.sparkSession
-    postings = F.broadcast(spark.createDataFrame(index, "template string, word string, at int, idf double"))  # a row for each indexed word
+def _found(rows: DataFrame, index: list[tuple[str, str, int, float]]) -> DataFrame:
+    """row, found (template and score of each that scores enough at some place), for rows with any."""
+    entries = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(w).alias("word"), F.lit(at).alias("at"), F.lit(float(x)).alias("idf")) for t, w, at, x in index])
+    postings = F.broadcast(rows.sparkSession.range(1).select(F.inline(entries)))  # a row for each indexed word
     whole = {}
     for name, _, _, x in index:
         whole[name] = whole.get(name, 0.0) + x
-    rank = F.create_map(*[F.lit(x) for w in sorted(idf) for x in (w, float(idf[w]))])
-    words = F.array_distinct(F.transform("hits", lambda h: h["word"]))  # of the index
-    # the file's rarest licence words
-    rarest = F.slice(F.array_sort(F.transform(words, lambda w: F.struct((-F.element_at(rank, w)).alias("r"), w.alias("w")))), 1, RAREST)
-    looked = rows.filter(F.size("hits") > 0).withColumn("hits", F.filter("hits", lambda h: h["word"].isin(sorted(idf))))
-    looked = looked.select("row", "verified", F.explode(F.filter("hits", lambda h: F.exists(rarest, lambda r: r["w"] == h["word"]))).alias("h")).select("row", "verified", "h.*")
-    votes = looked.join(postings, "word").filter(F.array_contains("verified", F.col("template")))
+    looked = rows.filter("marked IS NOT NULL").select("row", F.posexplode(F.split("marked", " ")).alias("pos", "word"))
+    votes = looked.filter(F.col("word").isin(sorted({w for _, w, _, _ in index}))).join(postings, "word")
     at = votes.groupBy("row", "template", (F.col("pos") - F.col("at")).alias("offset")).agg(F.sum("idf").alias("sum"))
     share = F.col("sum") / F.element_at(F.create_map(*[F.lit(x) for k, v in whole.items() for x in (k, v)]), F.col("template"))
     best = at.groupBy("row", "template").agg(F.max(F.least(share, F.lit(1.0))).alias("score")).filter(F.col("score") >= LEAST_SCORE)
-    return best.groupBy("row").agg(F.collect_set("template").alias("own"), F.max("score").alias("score"))
+    return best.groupBy("row").agg(F.collect_list(F.struct("template", "score")).alias("found"))

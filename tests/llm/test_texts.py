@@ -352,6 +352,23 @@ def test_license_templates(spark):
     assert got[4] == (["apache", "apache-2.0"], 1.0) and got[5] == (["cc-by", "cc-by-nc-4.0"], 1.0) and got[6] == ([], 0.0)
 
 
+def test_license_near_misses(spark):
+    """Each notice is found as it stands, in a long text too; without its phrases, or out of its order, it is not."""
+    rows, want = [], {}
+    for n, (name, (notice, need)) in enumerate(sorted(licenses.TEMPLATES.items())):
+        words = notice.split()
+        broken = notice.replace(need[0], need[0].replace(" ", " really ", 1))
+        rows += [(10 * n, f"{'filler words ' * 300}{notice}; {'more of it ' * 300}"), (10 * n + 1, broken), (10 * n + 2, " ".join(reversed(words)))]
+        want |= {10 * n: True, 10 * n + 1: False, 10 * n + 2: False}
+        want[10 * n] = name
+    got = {r.id: (set(r.labels) & set(licenses.TEMPLATES), r.score) for r in licenses.scan(texts(spark, rows)).collect()}
+    for i, name in want.items():
+        if name:
+            assert name in got[i][0] and got[i][1] >= licenses.LEAST_SCORE
+        else:
+            assert sorted(licenses.TEMPLATES)[i // 10] not in got[i][0]
+
+
 def test_license_query(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     out = queries.license_labels(spark, SF).collect()
