@@ -4,8 +4,10 @@ Confirmed toxic documents are the positives; all other text, whatever it is, is
 class prior p, the risk of a scorer is p R+(pos) + max(0, R-(unlabelled) - p R-(pos)): the second
 part estimates the loss on clean text, and is kept from falling below zero, where fitting would go on
 only by memorising the positives.  The scorer is linear in the presence of features: whole words and word
-beginnings, known by 62-bit hashes, that occur once, twice or four times.  Spark counts features over a
-bounded sample and keeps those with evidence; numpy fits their weights, and every document is scored.
+beginnings, known by 62-bit hashes, that occur once, twice or four times.  What confirmed examples have
+is counted over all documents, and features with evidence are kept.  numpy finds first weights
+on a bounded sample; then the risk of unlabelled text and its slope are summed over all documents, and numpy
+moves the weights by these, round for round.  Every document is scored.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import functions as F
 from skyfact.llm.shared import in_batches, stored
 from skyfact.llm.words import by_bytes, give_back, hash_words, member, spans, text_bytes
 
-#: Bounds of the sample that is fitted on: toxic documents, and unlabelled ones.
-POSITIVES, UNLABELLED = 4000, 12000
+#: Labelled toxic documents that are fitted on, at most.
+POSITIVES = 4000
+#: Unlabelled documents that the first weights come from, and rounds over all of them that follow.
+START, ROUNDS = 12000, 12
 #: Most features of a model, and the evidence (in nats) that each needs: more than chance gives to the best of all.
 FEATURES, LEAST_GAIN = 4000, 10.0
 PREFIXES = (4, 5, 6, 7, 8)
@@ -89,95 +93,189 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], features: np.ndarray, prior: float, steps: int = STEPS, decay: float = DECAY) -> Model:
-    """Fit on the documents' present features.  Without positives nothing is toxic; without text neither."""
-    b = float(np.log(MIN_PRIOR))
-    features = np.sort(features)
-    n_pos, n_unl, n = len(pos), len(unl), len(features)
-    if not n_pos or not n_unl or not n:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), b)
-
-    def sparse(docs):
-        return np.repeat(np.arange(len(docs)), [len(x) for x in docs]), np.searchsorted(features, np.concatenate(docs))
-
-    (pd_, pf), (ud, uf) = sparse(pos), sparse(unl)
-    w = np.zeros(n)
-    m, v = np.zeros(n + 1), np.zeros(n + 1)
-    for step in range(1, steps + 1):
-        zp = np.bincount(pd_, w[pf], n_pos) + b
-        zu = np.bincount(ud, w[uf], n_unl) + b
+def _sparse(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, feature number) of documents' feature numbers."""
+    return np.repeat(np.arange(len(docs)), [len(x) for x in docs]), np.concatenate([np.zeros(0, np.int64), *docs]).astype(np.int64)
+
+
+def unlabelled_risk(docs: tuple[np.ndarray, np.ndarray], n_docs: int, w: np.ndarray, b: float) -> tuple[float, np.ndarray]:
+    """Summed loss of taking documents for clean, and its slope by each weight and the bias."""
+    d, f = docs
+    z = np.bincount(d, w[f], n_docs) + b
+    slope = _sigmoid(z)
+    return float(np.logaddexp(0, z).sum()), np.append(np.bincount(f, slope[d], len(w)), slope.sum())
+
+
+class Fit:
+    """Weights on the way to the least non-negative risk, by moments of the slopes."""
+
+    def __init__(self, pos: list[np.ndarray], n: int, prior: float, decay: float):
+        self.pos, self.n_pos, self.n, self.prior, self.decay = _sparse(pos), len(pos), n, prior, decay
+        self.w, self.b = np.zeros(n), float(np.log(MIN_PRIOR))
+        self.m, self.v, self.steps = np.zeros(n + 1), np.zeros(n + 1), 0
+
+    def move(self, loss: float, slope: np.ndarray, rate: float) -> None:
+        """One step, by the mean loss and slope of unlabelled text."""
+        d, f = self.pos
+        z = np.bincount(d, self.w[f], self.n_pos) + self.b
         # logistic loss: softplus(-z) for toxic, softplus(z) for clean
-        clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp = -prior * _sigmoid(-zp) / n_pos
-        if clean >= 0:
-            gp = gp - prior * _sigmoid(zp) / n_pos
-            gu = _sigmoid(zu) / n_unl
+        if loss - self.prior * np.logaddexp(0, z).mean() >= 0:
+            g = -self.prior * (_sigmoid(-z) + _sigmoid(z)) / self.n_pos
         else:  # step back from the part that went below zero
-            gp, gu = prior * _sigmoid(zp) / n_pos, -_sigmoid(zu) / n_unl
-        g = np.append(np.bincount(pf, gp[pd_], n) + np.bincount(uf, gu[ud], n) + decay / n * w, gp.sum() + gu.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-        w, b = w - move[:-1], b - move[-1]
-    return Model(features, w, float(b))
+            g, slope = self.prior * _sigmoid(z) / self.n_pos, -slope
+        g = np.append(np.bincount(f, g[d], self.n) + self.decay / self.n * self.w, g.sum()) + slope
+        self.steps += 1
+        self.m, self.v = 0.9 * self.m + 0.1 * g, 0.999 * self.v + 0.001 * g * g
+        step = rate * (self.m / (1 - 0.9**self.steps)) / (np.sqrt(self.v / (1 - 0.999**self.steps)) + 1e-9)
+        self.w, self.b = self.w - step[:-1], float(self.b - step[-1])
+
+
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], features: np.ndarray, prior: float, steps: int = STEPS, decay: float = DECAY, everywhere=None) -> Model:
+    """Fit on the documents' present features.  Without positives nothing is toxic; without text neither.
+
+    ``everywhere`` gives mean loss and slope of all unlabelled text for weights and a bias; with it, ROUNDS more steps follow.
+    """
+    features = np.sort(features)
+    n_unl, n = len(unl), len(features)
+    if not len(pos) or not n_unl or not n:
+        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(MIN_PRIOR)))
+    numbers = lambda docs: [np.searchsorted(features, x) for x in docs]
+    state, sample = Fit(numbers(pos), n, prior, decay), _sparse(numbers(unl))
+    for _ in range(steps):
+        loss, slope = unlabelled_risk(sample, n_unl, state.w, state.b)
+        state.move(loss / n_unl, slope / n_unl, 0.05)
+    for t in range(1, ROUNDS + 1 if everywhere else 1):
+        state.move(*everywhere(state.w, state.b), 0.02 / t**0.5)
+    return Model(features, state.w, state.b)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def chosen_features(docs: DataFrame, n_pos: int, n_unl: int, most: int = FEATURES, least_gain: float = LEAST_GAIN) -> np.ndarray:
-    """Features of the sampled documents (text, positive) that tell positives from text at large.
+def _counted(feature: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_signed(feature), pa.array(n.astype(np.int64))], ["feature", "n"])
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, number) of rows of packed numbers."""
+    return _sparse([np.frombuffer(x, np.uint32) for x in column.to_pylist()])
+
+
+def _packed(row: np.ndarray, number: np.ndarray, n: int) -> pa.Array:
+    cuts = np.searchsorted(row, np.arange(n + 1))
+    number = number.astype(np.uint32)
+    return pa.array([number[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())
 
-    The gain is the number of positives times the divergence of the feature's presence in them from that in all.
-    """
+
+def seen_in(positives: DataFrame) -> np.ndarray:
+    """Features (sorted) that three or more of the texts have; as many as a bounded number of texts allows."""
 
     def count(batches):
         for batch in (part for b in batches for part in by_bytes(b)):
-            doc, feat = presence(batch["text"])
-            positive = np.asarray(batch["positive"], np.int64)[doc]
-            values, at = np.unique(feat, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([_signed(values), pa.array(np.bincount(at, positive).astype(np.int64)), pa.array(np.bincount(at).astype(np.int64))], ["feature", "p", "n"])
+            yield _counted(*np.unique(presence(batch["text"])[1], return_counts=True))
+        give_back()
+
+    counts = positives.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return np.sort(np.asarray(counts.filter("n >= 3").select("feature").toArrow()["feature"], np.int64).view(np.uint64))
+
+
+def with_presence(docs: DataFrame, features: np.ndarray) -> DataFrame:
+    """(id, text) -> id, feats: the numbers of the features (sorted) that each text has, packed."""
+    bases = np.unique(features & ~np.uint64(3))
+
+    def run(batches):
+        for batch in (part for b in batches for part in by_bytes(b)):
+            doc, feat = presence(batch["text"], bases)
+            ok = member(feat, features)
+            yield pa.RecordBatch.from_arrays([batch["id"], _packed(doc[ok], np.searchsorted(features, feat[ok]), batch.num_rows)], ["id", "feats"])
         give_back()
 
-    counts = docs.mapInArrow(count, "feature long, p long, n long").groupBy("feature").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).filter("p >= 3")
-    p = (F.col("p") + 0.5) / (n_pos + 1)
-    q = (F.col("n") + 0.5) / (n_pos + n_unl + 1)
-    gain = n_pos * (p * F.log(p / q) + (1 - p) * F.log((1 - p) / (1 - q)))
-    best = counts.filter(p > q).select("feature", gain.alias("gain")).filter(F.col("gain") > least_gain).orderBy(F.desc("gain"), "feature").limit(most)
-    return np.array([r.feature for r in best.collect()], np.int64).view(np.uint64)
+    return docs.select("id", "text").mapInArrow(run, "id long, feats binary")
+
+
+def feature_counts(rows: DataFrame, n: int) -> np.ndarray:
+    """How many rows (feats) have each of n features.  A task sends one row for each feature that it has seen."""
+
+    def count(batches):
+        total = np.zeros(n, np.int64)
+        for batch in batches:
+            total += np.bincount(_lists(batch["feats"])[1], minlength=n)
+        at = np.flatnonzero(total)
+        yield _counted(at, total[at])
+
+    counts = rows.select("feats").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(n, np.int64)
+    out[np.asarray(counts["feature"], np.int64)] = np.asarray(counts["n"], np.int64)
+    return out
+
+
+def chosen(features: np.ndarray, p: np.ndarray, n_pos: int, n: np.ndarray, n_docs: int, most: int = FEATURES, least_gain: float = LEAST_GAIN) -> np.ndarray:
+    """Numbers (sorted) of the features that tell positives, of which p have each, from all text, of which n have.
+
+    The gain is the number of positives times the divergence of the feature's presence in them from that in all.
+    """
+    p, q = (p + 0.5) / (n_pos + 1), (np.minimum(n, n_docs) + 0.5) / (n_docs + 1)
+    gain = np.where(p > q, n_pos * (p * np.log(p / q) + (1 - p) * np.log((1 - p) / (1 - q))), 0)
+    best = np.lexsort((features, -gain))[:most]
+    return np.sort(best[gain[best] > least_gain])
+
+
+def risk_everywhere(rows: DataFrame, n: int, n_docs: int):
+    """A function of weights and bias: mean loss and slope of unlabelled text over all rows (feats), summed by Spark."""
+
+    def at(w: np.ndarray, b: float) -> tuple[float, np.ndarray]:
+        def run(batches):
+            loss, slope = 0.0, np.zeros(n + 1)
+            for batch in batches:
+                more, by = unlabelled_risk(_lists(batch["feats"]), batch.num_rows, w, b)
+                loss, slope = loss + more, slope + by
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n + 2)), pa.array(np.append(slope, loss))], ["number", "sum"])
+
+        total = rows.select("feats").mapInArrow(run, "number long, sum double").groupBy("number").agg(F.sum("sum").alias("sum")).toArrow()
+        out = np.zeros(n + 2)
+        out[np.asarray(total["number"], np.int64)] = np.asarray(total["sum"], np.float64)
+        return out[-1] / n_docs, out[:-1] / n_docs
 
+    return at
 
-def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
+
+def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, start: int = START) -> Model:
     """Documents (id, text) and labels (id, toxic) -> model.
 
-    The prior is the share of toxic among all labels.  The sample has the first ``positives`` toxic and the
-    first ``unlabelled`` other ids in the order of a digest; its chosen features come to the driver, which fits.
+    The prior is the share of toxic among all labels.  The first ``positives`` toxic ids in the order of a digest are
+    fitted on; of rows with one id, the least text stands for it.  All documents are the unlabelled text, whose features
+    are counted and whose risk is measured over every row; the first weights come from ``start`` of them.
     """
     known = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
     count = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     if not count.n or not count.toxic:
         return fit([], [], np.zeros(0, np.uint64), MIN_PRIOR)
     prior = min(max(count.toxic / count.n, MIN_PRIOR), MAX_PRIOR)
-    drawn = lambda ids, n, mark: ids.orderBy(F.xxhash64("id"), "id").limit(n).withColumn("positive", F.lit(mark))
-    toxic = drawn(known.filter("toxic = 1").select("id"), positives, True)
-    others = drawn(docs.select("id").filter("id IS NOT NULL"), unlabelled, False)
-    # at most positives + unlabelled ids
-    sample = stored(in_batches(docs).join(F.broadcast(toxic.unionAll(others)), "id").select("id", "text", "positive"), "toxicity-sample")
-    sizes = {r.positive: r["count"] for r in sample.groupBy("positive").count().collect()}
-    features = chosen_features(sample.select("text", "positive"), sizes.get(True, 0), sizes.get(False, 0))
-    bases = np.unique(features & ~np.uint64(3))
-
-    def pick(batches):
-        for batch in (part for b in batches for part in by_bytes(b)):
-            doc, feat = presence(batch["text"], bases)
-            ok = member(feat, np.sort(features))
-            doc, feat = doc[ok], feat[ok]
-            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch["positive"], pa.array([feat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], ["positive", "feats"])
-
-    rows = sorted((r.positive, bytes(r.feats)) for r in sample.select("text", "positive").mapInArrow(pick, "positive boolean, feats binary").collect())
-    of = lambda mark: [np.frombuffer(f, np.uint64) for p, f in rows if p == mark]
-    return fit(of(True), of(False), features, prior)
+    drawn = lambda ids, n: F.broadcast(stored(ids.orderBy(F.xxhash64("id"), "id").limit(n), "toxicity-ids"))
+    one = lambda df, ids, column: df.join(ids, "id").groupBy("id").agg(F.min(column).alias(column))
+    # at most ``positives`` ids, and ``start``
+    toxic, others = drawn(known.filter("toxic = 1").select("id"), positives), drawn(docs.select("id").filter("id IS NOT NULL").distinct(), start)
+    examples = stored(one(in_batches(docs).select("id", "text"), toxic, "text"), "toxicity-examples")
+    seen = seen_in(examples)
+    unlabelled = stored(with_presence(docs, seen), "toxicity-presence")
+    n_pos, n_docs = examples.count(), unlabelled.count()
+    if not n_pos or not n_docs or not len(seen):
+        return fit([], [], np.zeros(0, np.uint64), MIN_PRIOR)
+    best = chosen(seen, feature_counts(with_presence(examples, seen), len(seen)), n_pos, feature_counts(unlabelled, len(seen)), n_docs)
+    number = np.full(len(seen), -1)
+    number[best] = np.arange(len(best))
+
+    def keep(batches):
+        for batch in batches:
+            row, feat = _lists(batch["feats"])
+            ok = number[feat] >= 0
+            yield pa.RecordBatch.from_arrays([batch["id"], _packed(row[ok], number[feat[ok]], batch.num_rows)], ["id", "feats"])
+
+    unlabelled = stored(unlabelled.mapInArrow(keep, "id long, feats binary"), "toxicity-chosen")
+    features = seen[best]
+    sample = lambda ids: [features[np.frombuffer(f, np.uint32)] for f in sorted(one(unlabelled, ids, "feats").toArrow()["feats"].to_pylist())]
+    return fit(sample(toxic), sample(others), features, prior, everywhere=risk_everywhere(unlabelled, len(features), n_docs))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

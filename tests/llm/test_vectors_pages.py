@@ -266,6 +266,33 @@ def test_toxicity_awkward(spark):
     assert all(w > 0 for w in model.weights[1:3]) and abs(model.weights[10:]).max() < model.weights[1] and model.weights[1:3].sum() + model.bias > 0 > model.bias
 
 
+def test_toxicity_counts_and_risk(spark):
+    """Counts and risk over all documents against plain sums, and a model of two weights by hand."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    words = ["scum", "trash", "river", "stone", "moron", "garden"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 9)))) for i in range(300)] + [(300, None), (None, "scum"), (7, "trash scum")]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    plain = [set(toxicity.presence(pa.array([t], pa.string()))[1].tolist()) for _, t in rows]
+    every = Counter(f for x in plain for f in x)
+    seen = toxicity.seen_in(docs)
+    assert seen.tolist() == sorted(f for f, n in every.items() if n >= 3)
+    held = stored(toxicity.with_presence(docs, seen), "held")
+    assert toxicity.feature_counts(held, len(seen)).tolist() == [every[f] for f in seen.tolist()]
+    w, b = np.random.default_rng(5).normal(size=len(seen)), -0.3
+    z = np.array([sum(w[np.searchsorted(seen, np.uint64(f))] for f in x if every[f] >= 3) + b for x in plain])
+    loss, slope = toxicity.risk_everywhere(held, len(seen), len(rows))(w, b)
+    assert np.isclose(loss, np.log1p(np.exp(z)).mean()) and np.isclose(slope[-1], (1 / (1 + np.exp(-z))).mean())
+    f = int(np.searchsorted(seen, np.uint64(max(every, key=every.get))))
+    assert np.isclose(slope[f], sum(1 / (1 + np.exp(-z[i])) for i, x in enumerate(plain) if int(seen[f]) in x) / len(rows))
+    # half of the positives have a feature that a tenth of all have: 0.5 ln 5 + 0.5 ln (5/9) nats each
+    best = toxicity.chosen(np.arange(3).astype(np.uint64), np.array([500, 100, 10]), 999, np.array([1000, 1000, 1000]), 9999)
+    assert best.tolist() == [0]
+    one = toxicity.Model(seen[:1], np.array([2.0]), -1.0)
+    assert np.allclose(one.score(pa.array([t for _, t in rows])), [1 / (1 + np.exp(1 - 2 * (int(seen[0]) in x))) for x in plain])
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version, on rows with nulls, ties and repeated rows."""
     docs = table(spark, SF, "documents").limit(60)
