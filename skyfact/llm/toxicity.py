@@ -180,15 +180,25 @@ def seen_in(positives: DataFrame) -> np.ndarray:
     return np.sort(np.asarray(counts.filter("n >= 3").select("feature").toArrow()["feature"], np.int64).view(np.uint64))
 
 
+def _numbers_in(features: np.ndarray):
+    """A function of a batch (text): document and number of each of the features (sorted) that its texts have."""
+    bases = np.unique(features & ~np.uint64(3))
+
+    def of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        doc, feat = presence(batch["text"], bases)
+        ok = member(feat, features)
+        return doc[ok], np.searchsorted(features, feat[ok])
+
+    return of
+
+
 def with_presence(docs: DataFrame, features: np.ndarray) -> DataFrame:
     """(id, text) -> id, feats: the numbers of the features (sorted) that each text has, packed."""
-    bases = np.unique(features & ~np.uint64(3))
+    numbers = _numbers_in(features)
 
     def run(batches):
         for batch in (part for b in batches for part in by_bytes(b)):
-            doc, feat = presence(batch["text"], bases)
-            ok = member(feat, features)
-            yield pa.RecordBatch.from_arrays([batch["id"], _packed(doc[ok], np.searchsorted(features, feat[ok]), batch.num_rows)], ["id", "feats"])
+            yield pa.RecordBatch.from_arrays([batch["id"], _packed(*numbers(batch), batch.num_rows)], ["id", "feats"])
         give_back()
 
     return docs.select("id", "text").mapInArrow(run, "id long, feats binary")
@@ -196,15 +206,25 @@ def with_presence(docs: DataFrame, features: np.ndarray) -> DataFrame:
 
 def feature_counts(rows: DataFrame, n: int) -> np.ndarray:
     """How many rows (feats) have each of n features.  A task sends one row for each feature that it has seen."""
+    return _counts(rows.select("feats"), n, lambda batch: [_lists(batch["feats"])[1]])
+
+
+def text_counts(docs: DataFrame, features: np.ndarray) -> np.ndarray:
+    """How many texts have each of the features (sorted).  What a single text has is kept nowhere."""
+    numbers = _numbers_in(features)
+    return _counts(docs.select("text"), len(features), lambda batch: (numbers(part)[1] for part in by_bytes(batch)))
 
+
+def _counts(rows: DataFrame, n: int, numbers) -> np.ndarray:
     def count(batches):
         total = np.zeros(n, np.int64)
-        for batch in batches:
-            total += np.bincount(_lists(batch["feats"])[1], minlength=n)
+        for found in (x for batch in batches for x in numbers(batch)):
+            total += np.bincount(found, minlength=n)
         at = np.flatnonzero(total)
         yield _counted(at, total[at])
+        give_back()
 
-    counts = rows.select("feats").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(n, np.int64)
     out[np.asarray(counts["feature"], np.int64)] = np.asarray(counts["n"], np.int64)
     return out
@@ -246,6 +266,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, start:
     The prior is the share of toxic among all labels.  The first ``positives`` toxic ids in the order of a digest are
     fitted on; of rows with one id, the least text stands for it.  All documents are the unlabelled text, whose features
     are counted and whose risk is measured over every row; the first weights come from ``start`` of them.
+    Only the features that are chosen are stored for each document.
     """
     known = labels.filter("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
     count = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
@@ -258,22 +279,12 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, start:
     toxic, others = drawn(known.filter("toxic = 1").select("id"), positives), drawn(docs.select("id").filter("id IS NOT NULL").distinct(), start)
     examples = stored(one(in_batches(docs).select("id", "text"), toxic, "text"), "toxicity-examples")
     seen = seen_in(examples)
-    unlabelled = stored(with_presence(docs, seen), "toxicity-presence")
-    n_pos, n_docs = examples.count(), unlabelled.count()
+    n_pos, n_docs = examples.count(), docs.count()
     if not n_pos or not n_docs or not len(seen):
         return fit([], [], np.zeros(0, np.uint64), MIN_PRIOR)
-    best = chosen(seen, feature_counts(with_presence(examples, seen), len(seen)), n_pos, feature_counts(unlabelled, len(seen)), n_docs)
-    number = np.full(len(seen), -1)
-    number[best] = np.arange(len(best))
-
-    def keep(batches):
-        for batch in batches:
-            row, feat = _lists(batch["feats"])
-            ok = number[feat] >= 0
-            yield pa.RecordBatch.from_arrays([batch["id"], _packed(row[ok], number[feat[ok]], batch.num_rows)], ["id", "feats"])
-
-    unlabelled = stored(unlabelled.mapInArrow(keep, "id long, feats binary"), "toxicity-chosen")
-    features = seen[best]
+    features = seen[chosen(seen, text_counts(examples, seen), n_pos, text_counts(docs, seen), n_docs)]
+    # texts are read again for the few features that are chosen: what they have of all would take twice the input
+    unlabelled = stored(with_presence(docs, features), "toxicity-chosen")
     sample = lambda ids: [features[np.frombuffer(f, np.uint32)] for f in sorted(one(unlabelled, ids, "feats").toArrow()["feats"].to_pylist())]
     return fit(sample(toxic), sample(others), features, prior, everywhere=risk_everywhere(unlabelled, len(features), n_docs))
 

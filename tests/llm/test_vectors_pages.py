@@ -293,6 +293,22 @@ def test_toxicity_counts_and_risk(spark):
     assert np.allclose(one.score(pa.array([t for _, t in rows])), [1 / (1 + np.exp(1 - 2 * (int(seen[0]) in x))) for x in plain])
 
 
+def test_toxicity_stores_chosen_features_only(spark, monkeypatch):
+    """Texts are counted without storing what they have: stored numbers are those of the model's features."""
+    kept = []
+    monkeypatch.setattr(toxicity, "stored", lambda df, label: kept.append(stored(df, label)) or kept[-1])
+    d = "/root/testdata/sf0.01"
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("id"), "toxic")
+    model = toxicity.train(docs, labels)
+    feats = [np.frombuffer(r.feats, np.uint32) for df in kept if "feats" in df.columns for r in df.collect()]
+    assert len(feats) == docs.count() and max(x.max() for x in feats if len(x)) < len(model.features)
+    toxic = docs.join(labels.filter("toxic = 1"), "id")
+    seen = toxicity.seen_in(toxic)
+    assert len(seen) > 2 * len(model.features)
+    assert toxicity.text_counts(toxic, seen).tolist() == toxicity.feature_counts(toxicity.with_presence(toxic, seen), len(seen)).tolist()
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version, on rows with nulls, ties and repeated rows."""
     docs = table(spark, SF, "documents").limit(60)
