@@ -6,8 +6,9 @@ Merging by rank joins whatever neighbours make a token, the least rank first.  W
 last is the same wherever it stands, since no merge inside of it can depend on its surroundings; so
 the merge list that the library wants has one pair for each token, found by merging its own bytes.
 
-Texts go through the library in batches of bounded size, and a very long text in parts that are cut
-where the pattern has a border in any case.  Offsets come from the lengths of the tokens in bytes and
+Texts are cut where the pattern ends a match in any case.  So a piece has the same tokens wherever it
+stands: the library gets each piece of a batch once, and a bounded number of short pieces is remembered
+between batches.  Offsets come from the lengths of the tokens in bytes and
 from where characters begin; a token that holds part of a character spans it whole.
 """
 
@@ -22,6 +23,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
@@ -33,10 +35,15 @@ from skyfact.llm.words import by_bytes, give_back
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-#: Characters of a text that the library gets at once; longer texts are cut where a border is certain.
+#: Pieces that a task remembers, the characters that such a piece has at most, and words that the library gets as one text.
+PIECES, PIECE_CHARS, JOINED = 1 << 18, 32, 1024
+#: Characters of a part of a long text, about.
 PART_CHARS = 1 << 18
 #: One space between something and a letter: the match before ends there, the next begins with the space.
 _BORDER = re.compile(r"(?<=\S) (?=[A-Za-z])")
+#: Where a match ends in any case: before white space, and between a letter and a sign that is no apostrophe.
+_CUT = re.compile(r"(?<=\S)(?=[ \t\n\r])|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[!-&(-/:-@\[-`{-~])")
+_SPACED_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def byte_characters() -> list[str]:
@@ -80,19 +87,38 @@ class Codec:
         self.tokenizer = Tokenizer(model)
         self.tokenizer.pre_tokenizer = Sequence([Split(Regex(pattern), "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])
         # the certain border is one of the public pattern; another pattern gets whole texts
-        self.part_chars = PART_CHARS if pattern == PATTERN else None
+        self.has_border = pattern == PATTERN
+        self.pieces: dict[str, bytes] = {}
         of_character = {c: b for b, c in enumerate(characters)}
         self.bytes = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes[rank] = bytes([of_character[c] for c in shown[token]])
         self.known = set(ranks.values())
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.table, self.ids = pa.array(self.bytes, pa.binary()), pa.array(sorted(self.known), pa.int32())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [text_parts(t, self.part_chars or len(t)) for t in texts]
-        parts = [p for c in cut for p in c]
-        done = iter(self.tokenizer.encode_batch_fast(parts, add_special_tokens=False))
-        return [np.concatenate([np.zeros(0, np.int32), *[np.array(next(done).ids, np.int32) for _ in c]]) for c in cut]
+        cut = [_CUT.split(t) if self.has_border else [t] for t in texts]
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
+        known = self.pieces
+        new = self._encode_pieces(list({p for c in cut for p in c if p not in known}))
+        rows = [np.frombuffer(b"".join([known[p] if p in known else new[p] for p in c]), np.int32) for c in cut]
+        known.update((p, ids) for p, ids in new.items() if len(p) <= PIECE_CHARS)
+        return rows
+
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """Piece -> its ids.  Words with a space before them are matches also behind each other, and go to the library so."""
+        ids = lambda texts: [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        words = [p for p in pieces if self.has_border and _SPACED_WORD.fullmatch(p)]
+        joined = ["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        flat = np.concatenate([np.zeros(0, np.int32), *ids(joined)])
+        ends = np.cumsum([0, *[len(w.encode()) for w in words]])
+        at = 4 * np.searchsorted(np.cumsum(self.lengths[flat]), ends, "right")
+        raw = flat.tobytes()
+        out = {w: raw[lo:hi] for w, lo, hi in zip(words, at[:-1].tolist(), at[1:].tolist())}
+        rest = [p for p in pieces if p not in out]
+        return out | {p: found.tobytes() for p, found in zip(rest, ids(rest))}
 
     def decode(self, ids) -> bytes:
         """The bytes of the ids.  An id that the file lacks raises."""
@@ -103,6 +129,15 @@ class Codec:
             raise ValueError(f"no such token: {unknown[:5]}")
         return b"".join([table[i] for i in ids])
 
+    def decode_rows(self, rows: list[np.ndarray]) -> pa.Array:
+        """The bytes of the ids of each row.  An id that the file lacks raises."""
+        lists = _lists(rows, pa.int32())
+        ids = lists.values
+        wrong = pc.filter(ids, pc.invert(pc.is_in(ids, self.ids)))
+        if len(wrong):
+            raise ValueError(f"no such token: {wrong[:5].to_pylist()}")
+        return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, self.table.take(ids)), b"")
+
     def offsets(self, text: str, ids: np.ndarray) -> np.ndarray:
         """First and past-the-last character of each token in its text."""
         data = np.frombuffer(text.encode(), np.uint8)
@@ -197,8 +232,7 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> D
         for batch in batches:
             for part in by_bytes(batch):
                 rows = c.encode([t or "" for t in part["text"].to_pylist()])
-                decoded = pa.array([c.decode(r) for r in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([part["id"], _lists(rows, pa.int32()), decoded], ["id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part["id"], _lists(rows, pa.int32()), c.decode_rows(rows)], ["id", "ids", "decoded"])
         give_back()
 
     return in_batches(_texts(docs)).mapInArrow(run, "id long, ids array<int>, decoded binary")

@@ -79,6 +79,32 @@ def test_byte_bpe_long_texts_in_parts(codec, library):
     assert byte_bpe.text_parts("x" * 1000, 10) == ["x" * 1000]
 
 
+def test_byte_bpe_pieces_once(library):
+    """The library gets each piece once, across batches too, and pieces have the tokens that they have in the text."""
+    own = byte_bpe.Codec()
+    inner, given = own.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **more):
+            given.extend(texts)
+            return inner.encode_batch_fast(texts, **more)
+
+    own.tokenizer = Counting()
+    rng = random.Random(6)
+    parts = ["word", "Über", "été", "it's", "we'LL", "'s", "1984", "日本", "...", "x", "É", "$%", "_a_", "\x1c", "\x85", "\u3000", "’s", "ß", "\u0301"]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", "  ", "\n", "\r\n", " \t", "", "", ",", "."]) for _ in range(3000)) for _ in range(30)]
+    texts += ["plain words, and more of them. " * 300] * 3
+    for batch in (texts, texts[::-1], []):
+        rows = own.encode(batch)
+        assert [r.tolist() for r in rows] == [library.encode_ordinary(t) for t in batch]
+        assert own.decode_rows(rows).to_pylist() == [t.encode() for t in batch]
+    given.clear()
+    own.encode(["plain words, and more of them. " * 300])
+    assert sum(map(len, given)) == 0
+    with pytest.raises(ValueError):
+        own.decode_rows([np.array([60000], np.int32)])
+
+
 def test_byte_bpe_odd_ranks(tmp_path):
     """A token that merging doesn't make is taken where a match is that token; ranks out of order are those of the tokens."""
     import base64
