@@ -31,6 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group that pairs with 0.8 of their five-word shingles in common make stays.
 
+    SimHash fingerprints of the shingles, searched by the pigeonring, give the first pairs, which an exact check has
+    to confirm; pairs with more bits between them come from the rarest shingles, and are checked as well.
     It is the one with the least id, null last; of several with that id, the one whose text has the least
     digest; and of equal texts, the least row.  Ids needn't be unique or known: a row is told by its group.
     Documents without words are a group as any other.

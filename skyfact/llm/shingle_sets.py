@@ -1,14 +1,18 @@
-"""Near-duplicates by exact similarity of shingle sets: a prefix-filtered join.
+"""Near-duplicates by SimHash with pigeonring filtering, with exact similarity of shingle sets behind it.
 
 A text is the set of its five-word shingles, and two texts are linked where the sets' intersection is
-at least 0.8 of their union.  Sets of n shingles that are so similar share at least ceil(0.8 n) of
+at least 0.8 of their union.  Each set has a SimHash fingerprint.  Sets whose fingerprints differ in at
+most two bits are found by the pigeonring (``simhash.links``) and are linked where their similarity holds.
+
+Similar sets often differ in more bits than segments can be searched for, so a prefix-filtered join finds
+what these links have not joined.  Sets of n shingles that are so similar share at least ceil(0.8 n) of
 them, so in any common order of all shingles one of the first n - ceil(0.8 n) + 1 is shared.  Rarest
 first is the order here: shingles of one set only come before all others, can't be shared, and are
 never listed, so only sets of which nearly all is found elsewhere have a prefix to be compared.
 
-All sets with a shingle in their prefix meet in its bucket.  Small buckets compare all pairs.  Larger
-ones first compare each member with one of about its size; what that links is a component, and then
-all pairs of different components are compared.  Nothing is capped or estimated: the components are
+All sets with a shingle in their prefix meet in its bucket.  In large buckets each member is first compared
+with one of about its size.  What fingerprints and these link is a component, and then all pairs of different
+components that meet in a bucket are compared.  Nothing is capped or estimated: the components are
 those of all pairs.  Equality of shingles and of whole sets is that of 64-bit hashes.
 """
 
@@ -22,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyfact.llm import simhash
 from skyfact.llm.components import components
 from skyfact.llm.shared import in_batches, slices, stored, text_size
 from skyfact.llm.words import by_bytes, give_back, hash_words, plain_words, sequence_hashes, spans, text_bytes
@@ -51,17 +56,17 @@ def _named(one: np.ndarray) -> int:
 
 
 def set_names(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, digest, text) -> id, digest, set (hash of the set of shingles), n (its size)."""
+    """(id, digest, text) -> id, digest, set (hash of the set of shingles), n (its size), fp (its SimHash fingerprint)."""
 
     def run(batches):
         for batch in (part for b in batches for part in by_bytes(b)):
-            found = [(_named(s), len(s)) for s in shingle_sets(batch["text"], shingle)]
-            names, sizes = (np.array(x) for x in (np.array([f[0] for f in found], np.uint64).view(np.int64), [f[1] for f in found]))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["digest"], pa.array(names), pa.array(sizes, pa.int64())], ["id", "digest", "set", "n"])
+            names, sizes, prints = zip(*[(_named(s), len(s), simhash.set_fingerprint(s)) for s in shingle_sets(batch["text"], shingle)])
+            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["digest"], signed(names), pa.array(sizes, pa.int64()), signed(prints)], ["id", "digest", "set", "n", "fp"])
         give_back()
 
     rows = docs.select(F.col("id").cast("long").alias("id"), "digest", F.col("text").cast("string").alias("text"))
-    return in_batches(rows).mapInArrow(run, "id long, digest long, set long, n long")
+    return in_batches(rows).mapInArrow(run, "id long, digest long, set long, n long, fp long")
 
 
 def _dealt(docs: DataFrame, parts: int, shingle: int) -> DataFrame:
@@ -102,6 +107,11 @@ def _found_twice(table: pa.Table) -> pa.Table:
     """The shingles of a part that several sets have: set, token, df (how many have it)."""
     read = lambda c, kind: np.frombuffer(b"".join(table[c].to_pylist()), kind)
     names, tokens = np.repeat(read("sets", "<i8"), read("counts", "<u4")), read("tokens", "<i8")
+    # what is found once is left out before names are looked at
+    order = np.argsort(tokens)
+    again = np.diff(tokens[order]) == 0
+    order = order[np.r_[again, False] | np.r_[False, again]] if len(order) else order
+    names, tokens = names[order], tokens[order]
     order = np.lexsort((names, tokens))
     names, tokens = names[order], tokens[order]
     new = np.ones(len(tokens), bool)
@@ -121,6 +131,16 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(9 * F.size(F.array_intersect("tokens_u", "tokens_v")) >= 4 * (F.col("n_u") + F.col("n_v"))).select("u", "v")
 
 
+def near_prints(names: DataFrame) -> DataFrame:
+    """Pairs (u, v) of sets that join all sets whose fingerprints differ in at most ``simhash.MAX_DIFF`` bits."""
+    known = names.groupBy("set").agg(F.first("fp").alias("fp"))
+    prints = stored(known.groupBy("fp").agg(F.min("set").alias("leader")), "shingle-prints")
+    equal = known.join(prints, "fp").filter("set <> leader").select(F.col("leader").alias("u"), F.col("set").alias("v"))
+    leader = lambda c: prints.select(F.col("fp").alias(c), F.col("leader").alias(f"set_{c}"))
+    near = simhash.links(prints.select("fp")).join(leader("u"), "u").join(leader("v"), "v").select("set_u", "set_v")
+    return equal.unionAll(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+
+
 def links(docs: DataFrame, names: DataFrame, shingle: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """(text), and its set names -> edges (u, v) between sets; their components are those of all similar pairs."""
     spark = docs.sparkSession
@@ -136,31 +156,26 @@ def links(docs: DataFrame, names: DataFrame, shingle: int = SHINGLE, bucket: int
     m = F.size("tokens")
     prefix = sets.select("set", "n", "b0", "b1", m.alias("m"), F.posexplode(F.slice("tokens", F.lit(1), (m - need + 1).cast("int"))).alias("at", "token"))
     prefix = stored(prefix, "shingle-prefixes")
-    size = stored(prefix.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "shingle-buckets")
-    small = prefix.join(size.filter(F.col("size") <= bucket).drop("size"), "token")
-    large = prefix.join(size.filter(F.col("size") > bucket).drop("size"), "token")
-
-    def met(members: DataFrame, also=F.lit(True)) -> DataFrame:
-        a, b = members.alias("a"), members.alias("b")
-        # what both may share up to here, and behind
-        most = F.least("a.at", "b.at") + 1 + F.least(F.expr("a.m - a.at - 1"), F.expr("b.m - b.at - 1"))
-        fits = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (9 * most >= 4 * (F.col("a.n") + F.col("b.n")))
-        # tokens that only one of the two has are m + m - 2 * intersection, so at most this many bits may differ
-        differ = F.bit_count(F.col("a.b0").bitwiseXOR(F.col("b.b0"))) + F.bit_count(F.col("a.b1").bitwiseXOR(F.col("b.b1")))
-        near = 9 * differ <= 9 * (F.col("a.m") + F.col("b.m")) - 8 * (F.col("a.n") + F.col("b.n"))
-        on = (F.col("a.token") == F.col("b.token")) & (F.col("a.set") < F.col("b.set")) & fits & near & also
-        return a.join(b, on).select(F.col("a.set").alias("u"), F.col("b.set").alias("v"))
-
+    size = stored(prefix.groupBy("token").agg(F.count("*").alias("size")).filter(F.col("size") > bucket), "shingle-buckets")
     about = F.floor(F.log("n") / math.log(1.25))
-    sized = large.withColumn("about", about)
+    sized = prefix.join(size, "token").withColumn("about", about)
     leaders = sized.groupBy("token", "about").agg(F.min_by("set", F.xxhash64("set", "token")).alias("leader"))
     stars = sized.join(leaders, ["token", "about"]).filter("set <> leader").select(F.least("set", "leader").alias("u"), F.greatest("set", "leader").alias("v"))
-    first = stored(_similar(met(small).unionAll(stars).distinct(), sets), "shingle-links")
-    # the rest of the large buckets: only what the first links have not joined
+    first = stored(_similar(near_prints(names).unionAll(stars).distinct(), sets), "shingle-links")
+    # the rest of the buckets: only what the first links have not joined
     found = components(first, "shingle-first")
-    grouped = stored(large.join(found, F.col("set") == F.col("node"), "left").select(*large.columns, F.coalesce("root", "set").alias("root")), "shingle-large")
+    grouped = prefix.join(found, F.col("set") == F.col("node"), "left").select(*prefix.columns, F.coalesce("root", "set").alias("root"))
     mixed = grouped.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-    rest = met(stored(grouped.join(mixed, "token"), "shingle-mixed"), F.expr("a.root <> b.root")).distinct()
+    members = stored(grouped.join(mixed, "token"), "shingle-mixed")
+    a, b = members.alias("a"), members.alias("b")
+    # what both may share up to here, and behind
+    most = F.least("a.at", "b.at") + 1 + F.least(F.expr("a.m - a.at - 1"), F.expr("b.m - b.at - 1"))
+    fits = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (9 * most >= 4 * (F.col("a.n") + F.col("b.n")))
+    # tokens that only one of the two has are m + m - 2 * intersection, so at most this many bits may differ
+    differ = F.bit_count(F.col("a.b0").bitwiseXOR(F.col("b.b0"))) + F.bit_count(F.col("a.b1").bitwiseXOR(F.col("b.b1")))
+    near = 9 * differ <= 9 * (F.col("a.m") + F.col("b.m")) - 8 * (F.col("a.n") + F.col("b.n"))
+    apart = (F.col("a.set") < F.col("b.set")) & (F.col("a.root") != F.col("b.root"))
+    rest = a.join(b, (F.col("a.token") == F.col("b.token")) & apart & fits & near).select(F.col("a.set").alias("u"), F.col("b.set").alias("v")).distinct()
     return first.unionAll(stored(_similar(rest, sets), "shingle-rest"))
 
 

@@ -36,6 +36,19 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _PART = 1 << 16
 
 
+def majority(parts, n: int) -> int:
+    """The bits that are set in over half of n 64-bit hashes, which come in arrays; of none, zero."""
+    ones = np.zeros(64, np.int64)
+    for hashes in parts:
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Fingerprint of a set of shingles, from their hashes."""
+    return majority((hashes[lo : lo + _PART] for lo in range(0, len(hashes), _PART)), len(hashes))
+
+
 def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     """Majority of the bits of the XXH64 of all shingles; fewer words make one shingle, none give zero."""
     if not words:
@@ -46,12 +59,8 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
     k = min(shingle, len(words))
     n = len(words) - k + 1
     view, h = memoryview(text), xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
-    for lo in range(0, n, _PART):
-        hi = min(n, lo + _PART)
-        hashes = np.array([h(view[a:b], SEED) for a, b in zip(starts[lo:hi].tolist(), ends[lo + k - 1 : hi + k - 1].tolist())], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    parts = ((lo, min(n, lo + _PART)) for lo in range(0, n, _PART))
+    return majority((np.array([h(view[a:b], SEED) for a, b in zip(starts[lo:hi].tolist(), ends[lo + k - 1 : hi + k - 1].tolist())], "<u8") for lo, hi in parts), n)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

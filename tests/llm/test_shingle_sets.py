@@ -6,12 +6,13 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skyfact.llm import shingle_sets
-from skyfact.llm.shared import table
+from skyfact.llm import shingle_sets, simhash
+from skyfact.llm.shared import stored, table
 from test_texts import SF, WORD, frame
 
 
@@ -76,6 +77,37 @@ def test_groups_table(spark):
     assert len({(got[i], want[i]) for i in texts}) == len(set(want.values())) == len(set(got.values()))
 
 
+def brute_print(text):
+    """Majority of the bits of the hashes of a text's distinct shingles."""
+    hashes = next(iter(shingle_sets.shingle_sets(pa.array([text], pa.string()))))
+    assert len(hashes) == len(brute_set(text))
+    return sum(1 << i for i in range(64) if 2 * sum(int(h) >> i & 1 for h in hashes) > len(hashes))
+
+
+def test_prints_are_linked_by_the_pigeonring(spark, rows, monkeypatch):
+    """The operator's links are the first pairs: they join all fingerprints at two bits or fewer, and what is similar of them."""
+    docs = frame(spark, rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("digest"), "text")
+    names = stored(shingle_sets.set_names(docs), "names")
+    found = {r.id: r for r in names.collect()}
+    prints = {found[i].set: brute_print(t) for i, t in rows}
+    assert all(found[i].fp % (1 << 64) == prints[found[i].set] for i, _ in rows)
+    root = {s: s for s in prints}
+    for u, v in shingle_sets.near_prints(names).collect():
+        assert u < v and (prints[u] ^ prints[v]).bit_count() <= 2 * simhash.MAX_DIFF
+        root = {s: min(root[u], root[v]) if r in (root[u], root[v]) else r for s, r in root.items()}
+    want = {s: s for s in prints}
+    for u in prints:
+        for v in prints:
+            if (prints[u] ^ prints[v]).bit_count() <= simhash.MAX_DIFF and want[u] != want[v]:
+                want = {s: min(want[u], want[v]) if r in (want[u], want[v]) else r for s, r in want.items()}
+    assert root == want
+
+    asked = []
+    monkeypatch.setattr(simhash, "links", lambda df, plain=simhash.links: asked.append({r.fp % (1 << 64) for r in df.collect()}) or plain(df))
+    corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), SF).count()
+    assert asked == [set(prints.values())]
+
+
 def test_stage_drops_edited_copies(spark):
     """Copies at a similarity of 0.8 or more go, those below stay."""
     rng = random.Random(3)
