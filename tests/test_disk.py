@@ -45,6 +45,12 @@ def test_bulk_csv_is_packed(spark, star, tmp_path):
     assert size(path) * 2 < size(tmp_path / "plain")
 
 
+def test_mart_csv_is_packed(spark, mart, tmp_path):
+    path = made(spark, "mart_csv", "mart-csv")
+    mart.write.option("header", True).csv(str(tmp_path / "plain"))
+    assert size(path) * 3 < size(tmp_path / "plain")
+
+
 def test_a_stored_table_leaves_no_shuffle_files(spark):
     before = shuffle_bytes(spark)
     materialize(spark.range(300_000).repartition(F.xxhash64("id")), "many")
@@ -76,6 +82,13 @@ def test_facts_are_stored_once(spark, star):
     assert star.fact.count() == star.fact.selectExpr("max(Fact_ID)").first()[0]
 
 
+def test_mart_of_observations_is_the_mart_of_facts(spark, star):
+    """Looked up per observation and unpivoted after, or looked up per fact."""
+    a, b = dashboard_mart(star), dashboard_mart(star.with_fact(star.fact))
+    assert star.keyed is not None and a.dtypes == b.dtypes
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_another_fact_is_not_taken_from_the_observations(star):
     assert planted(star).keyed is None and star.with_fact(star.fact.limit(3)).keyed is None
     assert dashboard_mart(star.with_fact(star.fact.limit(3))).count() == 3
