@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from pathlib import Path
 
 import pytest
@@ -10,10 +9,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF
-from skyfact.operators import numbering
-from skyfact.operators.facts import number_facts
+from skyfact.operators import numbering, quality
 from skyfact.operators.mart import dashboard_mart
 from skyfact.operators.numbering import assign_ids, lead_passes
+from skyfact.operators.quality import day_passes, dq_checks, id_checks
 from skyfact.plans.defects import planted
 from skyfact.session import materialize, scratch_dir
 
@@ -92,3 +91,37 @@ def test_mart_of_observations_is_the_mart_of_facts(spark, star):
 def test_another_fact_is_not_taken_from_the_observations(star):
     assert planted(star).keyed is None and star.with_fact(star.fact.limit(3)).keyed is None
     assert dashboard_mart(star.with_fact(star.fact.limit(3))).count() == 3
+
+
+@pytest.mark.parametrize("faults", [False, True])
+def test_checks_add_up_over_runs_of_days(spark, star, monkeypatch, faults):
+    """As many passes as are allowed, facts without a day among them; the triples of a pass are not kept."""
+    checked = planted(star) if faults else star
+    whole = {r.check: (r.failed, r.checked) for r in dq_checks(checked).collect()}
+    monkeypatch.setattr(quality, "PASS_FACTS", 1000)
+    assert len(day_passes(checked.fact)) == quality.MOST_PASSES
+    assert checked.fact.count() == sum(checked.fact.filter(c).count() for c in day_passes(checked.fact))
+    assert {r.check: (r.failed, r.checked) for r in dq_checks(checked).collect()} == whole
+    assert not folders(spark, "key-triples") and len(whole) == 23
+
+
+def test_days_of_facts_without_a_day(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PASS_FACTS", 1)
+    none = spark.range(5).selectExpr("CAST(NULL AS INT) AS id_date")
+    one = none.unionByName(spark.range(3).selectExpr("7 AS id_date"))
+    for df, n in ((none, 5), (one, 8), (none.limit(0), 0)):
+        assert sum(df.filter(c).count() for c in day_passes(df)) == n
+
+
+def test_repeated_ids(spark):
+    """Numbers below zero, at the ends of the type, apart by multiples of 64, and missing."""
+    ids = [0, 64, 128, 128, -1, -1, -1, -64, 63, 2**63 - 1, -(2**63), 2**63 - 1, None, None, 5]
+    found = id_checks(spark.createDataFrame([(i,) for i in ids], "Fact_ID long")).first()
+    assert (found.failed, found.checked) == (len(ids) - len(set(ids)), len(ids))
+    assert tuple(id_checks(spark.createDataFrame([], "Fact_ID long")).first())[1:] == (0, 0)
+
+
+def test_ids_are_counted_in_few_groups(star):
+    """What is shuffled for the check of numbers is far less than the numbers."""
+    plan = id_checks(star.fact)._jdf.queryExecution().executedPlan().toString()
+    assert "bit_or" in plan and "keys=[Fact_ID" not in plan
