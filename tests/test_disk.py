@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF
-from skyfact.operators import numbering, quality
+from skyfact.operators import joins, numbering, quality
 from skyfact.operators.mart import dashboard_mart
 from skyfact.operators.numbering import assign_ids, lead_passes
 from skyfact.operators.quality import day_passes, dq_checks, id_checks
@@ -125,3 +125,25 @@ def test_ids_are_counted_in_few_groups(star):
     """What is shuffled for the check of numbers is far less than the numbers."""
     plan = id_checks(star.fact)._jdf.queryExecution().executedPlan().toString()
     assert "bit_or" in plan and "keys=[Fact_ID" not in plan
+
+
+@pytest.mark.parametrize("bound, pieces", [(10, 5), (5, 9), (60, 1)])
+def test_look_up_in_pieces(spark, monkeypatch, bound, pieces):
+    """More rows than a broadcast takes: no shuffle of the big side, and the rows of a join, repeated and missing keys included."""
+    table = materialize(spark.range(44).selectExpr("nullif(id, 3) AS k", "id * 2 AS v", "nullif(id % 4, 1) AS w").unionByName(spark.createDataFrame([(7, 1, None)], "k long, v long, w long")), "right")
+    left = spark.range(200).selectExpr("id", "nullif(id % 60, 5) AS k")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", bound)
+    found, plain = joins.surrogate_join(left, table, "k"), left.join(table, "k", "left")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert pieces > joins.MOST_PIECES or plan.count("BroadcastHashJoin") == pieces and "SortMergeJoin" not in plan
+    assert found.columns == plain.columns and sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_star_round_trip_shuffles_no_fact(spark):
+    """Places are looked up by broadcast, whatever Spark guesses of their files."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["star_round_trip"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
